@@ -1,0 +1,70 @@
+"""Joining rows with a key table when single keys may hold much of the rows."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# A key with more than 1/HOT_SHARE of all rows is hot. There are fewer than
+# HOT_SHARE of them, and the sketch tracks enough items to find each.
+HOT_SHARE = 1000
+SKETCH_ITEMS = 10_000
+MAX_SALTS = 256
+
+SALT = "_salt"
+
+
+def hot_keys(rows: DataFrame, on: Sequence[str]) -> DataFrame:
+    """One row with the hashes of the hot keys, at most HOT_SHARE of them.
+
+    The sketch is merged from one small state per task, so nothing is shuffled
+    by key. It only guides how rows are spread: a key taken for hot by mistake,
+    or missed, changes no result.
+    """
+    top = F.expr(f"approx_top_k(h, {HOT_SHARE}, {SKETCH_ITEMS})")
+    return (
+        rows.select(F.xxhash64(*on).alias("h"))
+        .agg(top.alias("top"), F.count(F.lit(1)).alias("n"))
+        .select(F.expr(f"transform(filter(top, t -> t.count > n / {HOT_SHARE}), t -> t.item)"))
+    )
+
+
+def _salts(rows: DataFrame) -> int:
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(2, min(MAX_SALTS, partitions))
+
+
+def keyed_join(
+    rows: DataFrame,
+    keys: DataFrame,
+    on: Sequence[str],
+    how: str,
+    condition: Column | None = None,
+    even: bool = False,
+) -> DataFrame:
+    """``left_semi`` or ``left_anti`` join of rows with a table of distinct keys.
+
+    Rows of a hot key get a salt, and that key is repeated once per salt, so
+    they are joined by many tasks. With ``even`` every key is salted, which suits
+    key tables far smaller than the rows (files, companies) and needs no look at
+    the rows beforehand. ``condition`` may name columns of both sides.
+    """
+    salts = _salts(rows)
+    spread = F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
+    every = F.sequence(F.lit(0), F.lit(salts - 1))
+    if even:
+        salted_rows = rows.withColumn(SALT, spread)
+        salted_keys = keys.withColumn(SALT, F.explode(every))
+    else:
+        hot = F.array_contains(hot_keys(rows, on).scalar(), F.xxhash64(*on))
+        salted_rows = rows.withColumn(SALT, F.when(hot, spread).otherwise(0))
+        salted_keys = keys.withColumn(
+            SALT, F.explode(F.when(hot, every).otherwise(F.array(F.lit(0))))
+        )
+    renamed = salted_keys.withColumnsRenamed({c: f"_key_{c}" for c in [*on, SALT]})
+    match = F.lit(True) if condition is None else condition
+    for c in [*on, SALT]:
+        match = match & (salted_rows[c] == renamed[f"_key_{c}"])
+    return salted_rows.join(renamed, match, how).drop(SALT)
