@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salesmill.sources.files import list_files, move_files
+
 # Stand-in texts are wider than those of real drop files.
 STANDIN_WIDTHS = {
     "invoice_id": 15,
@@ -76,3 +80,25 @@ def staged_text(sales: DataFrame) -> DataFrame:
             for c in sales.columns
         ]
     )
+
+
+def write_drop_files(staged: DataFrame, drop: str, stage: str) -> None:
+    """Write text rows as drop files, a folder per company.
+
+    All rows of an invoice go to one file, so results do not hang on the order in
+    which files arrive.
+    """
+    spark = staged.sparkSession
+    (
+        staged.repartition("company_name", "invoice_id")
+        .write.partitionBy("company_name")
+        .options(header=True, quote="", emptyValue="")
+        .csv(stage)
+    )
+    moves = []
+    for _, location in list_files(spark, stage):
+        folder, name = location.rsplit("/", 2)[1:]
+        if name.endswith(".csv"):
+            company = unquote(folder.removeprefix("company_name="))
+            moves.append((location, f"{drop}/{company}/{name}"))
+    move_files(spark, moves)
