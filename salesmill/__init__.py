@@ -1,7 +1,7 @@
 """Multi-company sales: ingest of drop files, history and reports on Spark."""
 
 from salesmill.operators.alerts import alert_text, failure_alerts, parse_fanout, parse_load_events
-from salesmill.operators.dedup import first_file_wins, history_of, not_in_history, not_in_strict
+from salesmill.operators.dedup import first_file_wins, fresh_sales, not_in_history, not_in_strict
 from salesmill.operators.reports import (
     company_by,
     for_company,
@@ -33,8 +33,8 @@ __all__ = [
     "company_by",
     "failure_alerts",
     "first_file_wins",
+    "fresh_sales",
     "for_company",
-    "history_of",
     "in_report_order",
     "industry_by",
     "industry_cube",

@@ -104,39 +104,54 @@ def industry_cube(summary: DataFrame, company: str) -> DataFrame:
     return with_averages(sums, [*CUBE_KEYS, "grouping_id"])
 
 
-def company_sums(summary: DataFrame, companies: Sequence[str], keys: Sequence[str]) -> DataFrame:
-    """Sum and count of each of the companies, by ``keys``."""
-    return (
-        summary.filter(F.col("company_name").isin(list(companies)))
-        .groupBy("company_name", *keys)
-        .agg(
-            _sum(summary, "total_sales", F.col("total_sales")).alias("total_sales"),
-            F.sum("n_sales").alias("n_sales"),
-        )
+def _sets(reports: Sequence[Report]) -> list[list[Column]]:
+    """Grouping sets of company and industry reports; the former by company."""
+    own = {("company_name", *r.keys) for r in reports}
+    industry = {r.keys for r in reports if r.industry}
+    return [[F.col(c) for c in keys] for keys in sorted(own | industry)]
+
+
+def grouping_number(keys: Sequence[str]) -> int:
+    """``grouping_id`` over the summary keys of rows grouped by ``keys``."""
+    return sum(1 << n for n, c in enumerate(reversed(SUMMARY_KEYS)) if c not in keys)
+
+
+def report_sums(summary: DataFrame, reports: Sequence[Report]) -> DataFrame:
+    """Sums and counts for all reports of all companies, from one summary.
+
+    ``grouping_id`` over the summary keys tells the groupings apart.
+    """
+    return summary.groupingSets(_sets(reports), *SUMMARY_KEYS).agg(
+        F.grouping_id().alias("grouping_id"),
+        _sum(summary, "total_sales", F.col("total_sales")).alias("total_sales"),
+        F.sum("n_sales").alias("n_sales"),
     )
 
 
-def industry_sums(
-    summary: DataFrame, own: DataFrame, companies: Column, keys: Sequence[str]
-) -> DataFrame:
+def industry_rows(sums: DataFrame, companies: Column) -> DataFrame:
     """The rows of :func:`industry_by` for several companies at once.
 
-    Every company is shown all groups of the industry, so the industry rows are
-    repeated per company by the ``companies`` generator and then meet the
-    :func:`company_sums` in ``own``.
+    Every company is shown all groups of the industry, so these are repeated per
+    company by the ``companies`` generator, and then meet the sums of the company.
     """
-    industry = summary.groupBy(*keys).agg(
-        _sum(summary, "total_sales", F.col("total_sales")).alias("total_industry_sales"),
-        F.sum("n_sales").alias("_industry_n"),
+    own_bit = grouping_number([k for k in SUMMARY_KEYS if k != "company_name"])
+    on = ["grouping_id", *SUMMARY_KEYS]
+    industry = sums.filter(F.col("grouping_id") >= own_bit).select(
+        (F.col("grouping_id") - own_bit).alias("grouping_id"),
+        *[k for k in SUMMARY_KEYS if k != "company_name"],
+        F.col("total_sales").alias("total_industry_sales"),
+        F.col("n_sales").alias("_industry_n"),
+        companies,
+    )
+    own = sums.filter(F.col("grouping_id") < own_bit).select(
+        *[F.col(c).alias(f"_own_{c}") for c in on],
+        F.col("total_sales").alias("company_tot_sales"),
+        F.col("n_sales").alias("_company_n"),
     )
-    on = ["company_name", *keys]
-    sums = own.withColumnsRenamed({"total_sales": "company_tot_sales", "n_sales": "_company_n"})
-    sums = sums.withColumnsRenamed({c: f"_own_{c}" for c in on})
-    rows = industry.select("*", companies)
     match = F.lit(True)
     for c in on:
-        match = match & rows[c].eqNullSafe(sums[f"_own_{c}"])
-    return with_averages(rows.join(sums, match, "left"), ["company_no", *on])
+        match = match & industry[c].eqNullSafe(own[f"_own_{c}"])
+    return with_averages(industry.join(own, match, "left"), ["company_no", *on])
 
 
 def report_order(report: Report) -> list[Column]:
