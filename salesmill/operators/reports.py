@@ -49,18 +49,24 @@ def company_by(sales: DataFrame, company: str, keys: Sequence[str]) -> DataFrame
     return rows.groupBy(*keys).agg(_sum(sales, "total", F.col("total")).alias("total_sales"))
 
 
-def _average(total: str, count: str, name: str) -> Column:
-    return (F.col(total).cast("double") / F.nullif(F.col(count), F.lit(0))).alias(name)
+def _average(total: str, count: str, exact: bool) -> Column:
+    value = F.col(total) if exact else F.col(total).cast("double")
+    average = value / F.nullif(F.col(count), F.lit(0))
+    return F.round(average, 5).cast(T.DecimalType(22, 5)) if exact else average
 
 
-def with_averages(sums: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The four measures from sums and counts of company and industry."""
+def with_averages(sums: DataFrame, keys: Sequence[str], exact: bool = False) -> DataFrame:
+    """The four measures from sums and counts of company and industry.
+
+    Averages are doubles, or with ``exact`` decimals rounded to 5 places, as the
+    report files show them: rounding a double would take some halves down.
+    """
     return sums.select(
         *keys,
         "company_tot_sales",
         "total_industry_sales",
-        _average("company_tot_sales", "_company_n", "company_avg_sales"),
-        _average("total_industry_sales", "_industry_n", "average_industry_sales"),
+        _average("company_tot_sales", "_company_n", exact).alias("company_avg_sales"),
+        _average("total_industry_sales", "_industry_n", exact).alias("average_industry_sales"),
     )
 
 
@@ -75,14 +81,16 @@ def _beside_industry(sales: DataFrame, company: str, total: str, count: Column)
     ]
 
 
-def industry_by(sales: DataFrame, company: str, keys: Sequence[str]) -> DataFrame:
+def industry_by(
+    sales: DataFrame, company: str, keys: Sequence[str], exact: bool = False
+) -> DataFrame:
     """Sum and average of a company beside those of all companies, by ``keys``.
 
     Without keys there is always one row, all NULL when there are no sales.
     """
     counted = F.col("total").isNotNull().cast("bigint")
     sums = sales.groupBy(*keys).agg(*_beside_industry(sales, company, "total", counted))
-    return with_averages(sums, keys)
+    return with_averages(sums, keys, exact)
 
 
 def industry_total(sales: DataFrame, company: str) -> DataFrame:
@@ -151,7 +159,7 @@ def industry_rows(sums: DataFrame, companies: Column) -> DataFrame:
     match = F.lit(True)
     for c in on:
         match = match & industry[c].eqNullSafe(own[f"_own_{c}"])
-    return with_averages(industry.join(own, match, "left"), ["company_no", *on])
+    return with_averages(industry.join(own, match, "left"), ["company_no", *on], exact=True)
 
 
 def report_order(report: Report) -> list[Column]:

@@ -259,7 +259,8 @@ def comma_report(spark: SparkSession, sf: str) -> DataFrame:
 
 def pipe_report(spark: SparkSession, sf: str) -> DataFrame:
     out = scratch_path(spark, "pipe")
-    rows = reports.industry_by(sales_view(spark, sf), COMPANY, ["product_line", "city"])
+    keys = ["product_line", "city"]
+    rows = reports.industry_by(sales_view(spark, sf), COMPANY, keys, exact=True)
     write_report_pipe(rows, out, COMPANY, "Ind_Product_City_Sales.csv_")
     return _report_lines(spark, out)
 
