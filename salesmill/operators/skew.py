@@ -16,19 +16,21 @@ MAX_SALTS = 256
 SALT = "_salt"
 
 
-def hot_keys(rows: DataFrame, on: Sequence[str]) -> DataFrame:
-    """One row with the hashes of the hot keys, at most HOT_SHARE of them.
+def hot_keys(rows: DataFrame, on: Sequence[str]) -> list[int]:
+    """Hashes of the hot keys, fewer than HOT_SHARE of them.
 
     The sketch is merged from one small state per task, so nothing is shuffled
     by key. It only guides how rows are spread: a key taken for hot by mistake,
-    or missed, changes no result.
+    or missed, changes no result. It is looked at once, as both sides of a join
+    must go by the same list.
     """
     top = F.expr(f"approx_top_k(h, {HOT_SHARE}, {SKETCH_ITEMS})")
-    return (
+    found = (
         rows.select(F.xxhash64(*on).alias("h"))
         .agg(top.alias("top"), F.count(F.lit(1)).alias("n"))
         .select(F.expr(f"transform(filter(top, t -> t.count > n / {HOT_SHARE}), t -> t.item)"))
     )
+    return found.first()[0] or []
 
 
 def _salts(rows: DataFrame) -> int:
@@ -36,6 +38,15 @@ def _salts(rows: DataFrame) -> int:
     return max(2, min(MAX_SALTS, partitions))
 
 
+def _salt(rows: DataFrame, salts: int) -> Column:
+    """Salt of a row: from its contents, and for copies from where they lie.
+
+    It does not hang on the order of rows, so a task that is run again after the
+    loss of an executor sends each row where the first try sent it.
+    """
+    return F.pmod(F.xxhash64(*rows.columns, F.spark_partition_id()), F.lit(salts)).cast("int")
+
+
 def keyed_join(
     rows: DataFrame,
     keys: DataFrame,
@@ -43,28 +54,30 @@ def keyed_join(
     how: str,
     condition: Column | None = None,
     even: bool = False,
+    like: DataFrame | None = None,
 ) -> DataFrame:
     """``left_semi`` or ``left_anti`` join of rows with a table of distinct keys.
 
     Rows of a hot key get a salt, and that key is repeated once per salt, so
     they are joined by many tasks. With ``even`` every key is salted, which suits
     key tables far smaller than the rows (files, companies) and needs no look at
-    the rows beforehand. ``condition`` may name columns of both sides.
+    the rows beforehand. Otherwise the hot keys are looked for in ``rows``, or in
+    ``like`` where that is cheaper. ``condition`` may name columns of both sides.
     """
-    salts = _salts(rows)
-    spread = F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    if even:
-        salted_rows = rows.withColumn(SALT, spread)
-        salted_keys = keys.withColumn(SALT, F.explode(every))
+    joined = list(on)
+    hot = [] if even else hot_keys(rows if like is None else like, on)
+    if even or hot:
+        salts = _salts(rows)
+        every = F.sequence(F.lit(0), F.lit(salts - 1))
+        is_hot = F.lit(True) if even else F.xxhash64(*on).isin(hot)
+        salted = rows.withColumn(SALT, F.when(is_hot, _salt(rows, salts)).otherwise(0))
+        one = F.array(F.lit(0))
+        keys = keys.withColumn(SALT, F.explode(F.when(is_hot, every).otherwise(one)))
+        joined.append(SALT)
     else:
-        hot = F.array_contains(hot_keys(rows, on).scalar(), F.xxhash64(*on))
-        salted_rows = rows.withColumn(SALT, F.when(hot, spread).otherwise(0))
-        salted_keys = keys.withColumn(
-            SALT, F.explode(F.when(hot, every).otherwise(F.array(F.lit(0))))
-        )
-    renamed = salted_keys.withColumnsRenamed({c: f"_key_{c}" for c in [*on, SALT]})
+        salted = rows
+    renamed = keys.withColumnsRenamed({c: f"_key_{c}" for c in joined})
     match = F.lit(True) if condition is None else condition
-    for c in [*on, SALT]:
-        match = match & (salted_rows[c] == renamed[f"_key_{c}"])
-    return salted_rows.join(renamed, match, how).drop(SALT)
+    for c in joined:
+        match = match & (salted[c] == renamed[f"_key_{c}"])
+    return salted.join(renamed, match, how).drop(SALT)

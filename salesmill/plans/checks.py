@@ -202,25 +202,22 @@ def dropped(spark: SparkSession, sf: str) -> DataFrame:
     return read_drop(spark, drop).select("company_name", "field_count", *STAGED_COLUMNS)
 
 
-def _ingested(spark: SparkSession, sf: str) -> Layout:
+def ingested(spark: SparkSession, sf: str) -> DataFrame:
     """History from one round of drop files, then a round with everything."""
     layout = Layout.under(scratch_path(spark, "ingest"))
     staged = staged_text(sales_view(spark, sf))
     for n, part in enumerate([staged.filter("CAST(quantity AS INT) < 10"), staged]):
         write_drop_files(part, layout.drop, f"{layout.drop}-stage-{n}")
         run_ingest(spark, layout, widths=STANDIN_WIDTHS)
-    return layout
-
-
-def ingested(spark: SparkSession, sf: str) -> DataFrame:
-    return sales_table(spark, _ingested(spark, sf).history).drop("batch_id")
+    return sales_table(spark, layout.history).drop("batch_id")
 
 
 def archived(spark: SparkSession, sf: str) -> DataFrame:
     """All lines of the archived files, which are moved whole."""
-    return read_drop(spark, _ingested(spark, sf).archive).select(
-        "company_name", *STAGED_COLUMNS
-    )
+    layout = Layout.under(scratch_path(spark, "archive"))
+    write_drop_files(staged_text(sales_view(spark, sf)), layout.drop, f"{layout.drop}-stage")
+    run_ingest(spark, layout, widths=STANDIN_WIDTHS, reports=False)
+    return read_drop(spark, layout.archive).select("company_name", *STAGED_COLUMNS)
 
 
 def _report_lines(spark: SparkSession, out: str) -> DataFrame:

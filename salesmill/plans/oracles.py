@@ -238,9 +238,7 @@ ORACLES = {
     "sales_table": over_sales(f"SELECT {AS_TYPED} FROM sales WHERE company_name = '{COMPANY}'"),
     "read_drop": over_sales(f"SELECT {AS_TEXT}, CAST(17 AS INT) AS field_count FROM sales"),
     "ingest_stream": INGESTED,
-    "archive_consumed": over_sales(
-        f"SELECT {AS_TEXT} FROM sales WHERE {EARLIER} UNION ALL SELECT {AS_TEXT} FROM sales"
-    ),
+    "archive_consumed": over_sales(f"SELECT {AS_TEXT} FROM sales"),
     "refresh_reports": lines_sql(REPORTS),
     "write_report_csv": lines_sql(_report("Product_Branch_Sales.csv_"), COMPANY),
     "write_report_pipe": lines_sql(_report("Ind_Product_City_Sales.csv_"), COMPANY),
