@@ -9,7 +9,6 @@ from salesmill.operators.reports import (
     industry_by,
     industry_cube,
     industry_total,
-    merge_summaries,
     sales_summary,
 )
 from salesmill.operators.staging import split_rejects, validate_staged
@@ -39,7 +38,6 @@ __all__ = [
     "industry_by",
     "industry_cube",
     "industry_total",
-    "merge_summaries",
     "not_in_history",
     "not_in_strict",
     "parse_fanout",

@@ -35,14 +35,6 @@ def sales_summary(sales: DataFrame) -> DataFrame:
     )
 
 
-def merge_summaries(summaries: DataFrame) -> DataFrame:
-    """One summary from those of several loads."""
-    return summaries.groupBy(*SUMMARY_KEYS).agg(
-        _sum(summaries, "total_sales", F.col("total_sales")).alias("total_sales"),
-        F.sum("n_sales").alias("n_sales"),
-    )
-
-
 def company_by(sales: DataFrame, company: str, keys: Sequence[str]) -> DataFrame:
     """A company's sales by ``keys``."""
     rows = for_company(sales, company)
@@ -112,54 +104,67 @@ def industry_cube(summary: DataFrame, company: str) -> DataFrame:
     return with_averages(sums, [*CUBE_KEYS, "grouping_id"])
 
 
-def _sets(reports: Sequence[Report]) -> list[list[Column]]:
-    """Grouping sets of company and industry reports; the former by company."""
-    own = {("company_name", *r.keys) for r in reports}
-    industry = {r.keys for r in reports if r.industry}
-    return [[F.col(c) for c in keys] for keys in sorted(own | industry)]
-
-
 def grouping_number(keys: Sequence[str]) -> int:
     """``grouping_id`` over the summary keys of rows grouped by ``keys``."""
     return sum(1 << n for n, c in enumerate(reversed(SUMMARY_KEYS)) if c not in keys)
 
 
-def report_sums(summary: DataFrame, reports: Sequence[Report]) -> DataFrame:
-    """Sums and counts for all reports of all companies, from one summary.
+def _grouped(summary: DataFrame, sets: set[tuple[str, ...]], keys: Sequence[str]) -> DataFrame:
+    columns = [[F.col(c) for c in s] for s in sorted(sets)]
+    return summary.groupingSets(columns, *keys).agg(
+        F.grouping_id().cast("int").alias("grouping_id"),
+        _sum(summary, "total_sales", F.col("total_sales")).alias("total_sales"),
+        F.sum("n_sales").alias("n_sales"),
+    )
+
+
+def company_sums(
+    summary: DataFrame, companies: Sequence[str], reports: Sequence[Report]
+) -> DataFrame:
+    """Sums and counts for all reports of some companies.
 
     ``grouping_id`` over the summary keys tells the groupings apart.
     """
-    return summary.groupingSets(_sets(reports), *SUMMARY_KEYS).agg(
-        F.grouping_id().alias("grouping_id"),
+    own = summary.filter(F.col("company_name").isin(list(companies)))
+    return _grouped(own, {("company_name", *r.keys) for r in reports}, SUMMARY_KEYS)
+
+
+def industry_sums(summary: DataFrame, reports: Sequence[Report]) -> DataFrame:
+    """Sums and counts of the whole industry for its reports.
+
+    Companies are added up first, so that only the few rows left are repeated
+    per grouping.
+    """
+    keys = [k for k in SUMMARY_KEYS if k not in ("company_name", "branch_code")]
+    whole = summary.groupBy(*keys).agg(
         _sum(summary, "total_sales", F.col("total_sales")).alias("total_sales"),
         F.sum("n_sales").alias("n_sales"),
     )
+    rows = _grouped(whole, {r.keys for r in reports if r.industry}, keys)
+    # Numbered as the same grouping of one company, which has no branch either.
+    branch = grouping_number([k for k in SUMMARY_KEYS if k != "branch_code"])
+    return rows.withColumn("grouping_id", F.col("grouping_id") + branch)
 
 
-def industry_rows(sums: DataFrame, companies: Column) -> DataFrame:
+def industry_rows(industry: DataFrame, own: DataFrame, companies: Column) -> DataFrame:
     """The rows of :func:`industry_by` for several companies at once.
 
     Every company is shown all groups of the industry, so these are repeated per
     company by the ``companies`` generator, and then meet the sums of the company.
     """
-    own_bit = grouping_number([k for k in SUMMARY_KEYS if k != "company_name"])
-    on = ["grouping_id", *SUMMARY_KEYS]
-    industry = sums.filter(F.col("grouping_id") >= own_bit).select(
-        (F.col("grouping_id") - own_bit).alias("grouping_id"),
-        *[k for k in SUMMARY_KEYS if k != "company_name"],
-        F.col("total_sales").alias("total_industry_sales"),
-        F.col("n_sales").alias("_industry_n"),
-        companies,
-    )
-    own = sums.filter(F.col("grouping_id") < own_bit).select(
-        *[F.col(c).alias(f"_own_{c}") for c in on],
+    shown = industry.withColumnsRenamed(
+        {"total_sales": "total_industry_sales", "n_sales": "_industry_n"}
+    ).select("*", companies)
+    keys = ["grouping_id", "company_name", "city", "product_line", "payment"]
+    sums = own.select(
+        *[F.col(c).alias(f"_own_{c}") for c in keys],
         F.col("total_sales").alias("company_tot_sales"),
         F.col("n_sales").alias("_company_n"),
     )
     match = F.lit(True)
-    for c in on:
-        match = match & industry[c].eqNullSafe(own[f"_own_{c}"])
-    return with_averages(industry.join(own, match, "left"), ["company_no", *on], exact=True)
+    for c in keys:
+        match = match & shown[c].eqNullSafe(sums[f"_own_{c}"])
+    return with_averages(shown.join(sums, match, "left"), ["company_no", *keys], exact=True)
 
 
 def report_order(report: Report) -> list[Column]:

@@ -20,7 +20,7 @@ from salesmill.schema import HISTORY_SCHEMA, NUMBER_FORMATS, SALES_COLUMNS, STAG
 from salesmill.session import scratch_path
 from salesmill.sinks.report_files import write_report_csv, write_report_pipe
 from salesmill.sources.drop_files import read_drop
-from salesmill.sources.sales_table import append_sales, sales_table
+from salesmill.sources.sales_table import append_sales, append_summary, sales_table
 from salesmill.streaming.ingest import Layout, refresh_reports, run_ingest
 
 COMPANY = "BUILDING"
@@ -235,10 +235,12 @@ def _report_lines(spark: SparkSession, out: str) -> DataFrame:
 
 def refreshed(spark: SparkSession, sf: str) -> DataFrame:
     """The lines of all reports of all companies."""
-    out = scratch_path(spark, "reports")
-    summary = reports.sales_summary(sales_view(spark, sf))
+    out, summary = scratch_path(spark, "reports"), scratch_path(spark, "summary")
+    sales = _history_types(sales_view(spark, sf))
+    for n, part in enumerate([sales.filter(EARLIER), sales.filter(f"NOT ({EARLIER})")]):
+        append_summary(reports.sales_summary(part), summary, f"load-{n}")
     companies = [r.c_mktsegment for r in _companies(spark, sf).collect()]
-    refresh_reports(summary, companies, out)
+    refresh_reports(spark, summary, companies, out)
     return _report_lines(spark, out)
 
 

@@ -86,8 +86,8 @@ def industry_sql(*keys: str) -> str:
     return over_sales(f"SELECT {columns}, {MEASURES} FROM sales GROUP BY {columns}")
 
 
-def _money(value: str) -> str:
-    return f"CAST(CAST({value} AS DECIMAL(22,2)) AS VARCHAR)"
+def _money(value: str, decimals: int) -> str:
+    return f"CAST(CAST({value} AS DECIMAL(22,{decimals})) AS VARCHAR)"
 
 
 def _rounded(total: str, count: str) -> str:
@@ -97,14 +97,14 @@ def _rounded(total: str, count: str) -> str:
     return f"CAST(({scaled}) // 100000 AS VARCHAR) || '.' || lpad(CAST(({scaled}) % 100000 AS VARCHAR), 5, '0')"
 
 
-def _lines(report: Report) -> str:
+def _lines(report: Report, decimals: int) -> str:
     """The lines of one report for every company."""
     name = f"'{report.file_name}000' AS file_name"
     header = f"SELECT company_name, {name}, '{'|'.join(report.columns)}' AS line FROM companies"
     keys = list(report.keys)
     if not report.industry:
         header = header.replace("|", ",")
-        line = " || ',' || ".join([*keys, _money("SUM(total)")])
+        line = " || ',' || ".join([*keys, _money("SUM(total)", decimals)])
         return (
             f"{header} UNION ALL SELECT company_name, {name}, {line} FROM sales"
             f" GROUP BY {', '.join(['company_name', *keys])}"
@@ -119,8 +119,8 @@ def _lines(report: Report) -> str:
     match = " AND ".join(["o.company_name = c.company_name", *[f"o.{k} = i.{k}" for k in keys]])
     fields = [
         *[f"i.{k}" for k in keys],
-        f"coalesce({_money('o.t')}, '')",
-        _money("i.t"),
+        f"coalesce({_money('o.t', decimals)}, '')",
+        _money("i.t", decimals),
         f"coalesce({_rounded('o.t', 'o.n')}, '')",
         _rounded("i.t", "i.n"),
     ]
@@ -130,9 +130,9 @@ def _lines(report: Report) -> str:
     )
 
 
-def lines_sql(reports: list[Report], company: str | None = None) -> str:
+def lines_sql(reports: list[Report], company: str | None = None, decimals: int = 2) -> str:
     only = "" if company is None else f" WHERE company_name = '{company}'"
-    parts = " UNION ALL ".join(f"({_lines(r)})" for r in reports)
+    parts = " UNION ALL ".join(f"({_lines(r, decimals)})" for r in reports)
     return (
         f"WITH {SALES}, companies AS (SELECT DISTINCT c_mktsegment AS company_name FROM customer)"
         f" SELECT * FROM ({parts}){only}"
@@ -239,7 +239,7 @@ ORACLES = {
     "read_drop": over_sales(f"SELECT {AS_TEXT}, CAST(17 AS INT) AS field_count FROM sales"),
     "ingest_stream": INGESTED,
     "archive_consumed": over_sales(f"SELECT {AS_TEXT} FROM sales"),
-    "refresh_reports": lines_sql(REPORTS),
+    "refresh_reports": lines_sql(REPORTS, decimals=5),
     "write_report_csv": lines_sql(_report("Product_Branch_Sales.csv_"), COMPANY),
     "write_report_pipe": lines_sql(_report("Ind_Product_City_Sales.csv_"), COMPANY),
     "company_of": "SELECT c_custkey, c_name || '+ & co' AS company_name FROM customer",

@@ -8,12 +8,14 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Settings the jobs count on. AQE turns a shuffled join into a broadcast one
-# only when the measured size allows it, and splits skewed partitions.
+# only when the measured size allows it, and splits skewed partitions. Generated
+# code of a wide projection is cut up before it grows past what the JVM compiles.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 

@@ -51,6 +51,14 @@ def test_load_dedup_reports_and_archive(spark, layout):
     total = summary_table(spark, layout.summary).groupBy().sum("n_sales").first()[0]
     assert total == 5
 
+    # A file without sales renews the reports of its company.
+    report = pathlib.Path(layout.reports, "007", "Avg_Industry_Sales.csv_000")
+    before = report.read_text()
+    drop(layout, "007", "none.csv")
+    run_ingest(spark, layout)
+    assert report.read_text() != before
+    assert len(files(layout.archive)) == 5
+
 
 def test_files_of_one_load(spark, layout):
     """Reject first, then the earlier file wins; other companies do not matter."""
