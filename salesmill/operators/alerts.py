@@ -51,6 +51,7 @@ def failure_alerts(events: DataFrame, json_col: str = "event") -> DataFrame:
     itself has none.
     """
     wanted = ["s3", "errorMessage", "errorType", "stackTrace", "Message"]
+    trace = F.array_join(F.from_json("found.stackTrace", "array<string>"), "\n")
     found = events.select(
         F.col(json_col).alias("raw_event"), json_find_all(F.col(json_col), wanted).alias("found")
     ).select(
@@ -60,7 +61,7 @@ def failure_alerts(events: DataFrame, json_col: str = "event") -> DataFrame:
         F.coalesce("found.s3", json_find_first(F.col("found.Message"), "s3")).alias("s3"),
         F.col("found.errorType").alias("error_type"),
         F.col("found.errorMessage").alias("error_message"),
-        F.array_join(F.from_json("found.stackTrace", "array<string>"), "\n").alias("stack_trace"),
+        F.coalesce(trace, "found.stackTrace").alias("stack_trace"),
     )
     bucket = F.get_json_object("s3", "$.bucket.name")
     key = decode_key(F.get_json_object("s3", "$.object.key"))

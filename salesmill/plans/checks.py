@@ -6,7 +6,7 @@ paths and events are derived from whole tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from salesmill.functions import company_of, json_find_first, segment
@@ -16,7 +16,13 @@ from salesmill.operators import dedup, reports
 from salesmill.operators.staging import REASON, split_rejects, validate_staged
 from salesmill.operators.typing import type_sales
 from salesmill.plans.standin import STANDIN_WIDTHS, sales_view, staged_text, write_drop_files
-from salesmill.schema import HISTORY_SCHEMA, NUMBER_FORMATS, SALES_COLUMNS, STAGED_COLUMNS
+from salesmill.schema import (
+    HISTORY_SCHEMA,
+    NUMBER_FORMATS,
+    REPORTS,
+    SALES_COLUMNS,
+    STAGED_COLUMNS,
+)
 from salesmill.session import scratch_path
 from salesmill.sinks.report_files import write_report_csv, write_report_pipe
 from salesmill.sources.drop_files import read_drop
@@ -36,11 +42,7 @@ def industry_query(*keys: str):
 
 
 def in_order(spark: SparkSession, sf: str) -> DataFrame:
-    """Industry rows with their place in the report."""
-    from pyspark.sql import Window
-
-    from salesmill.schema import REPORTS
-
+    """The rows of one report with their place in it; there is one per group."""
     report = next(r for r in REPORTS if r.industry and r.keys == ("product_line", "city"))
     rows = reports.industry_by(sales_view(spark, sf), COMPANY, report.keys)
     place = F.row_number().over(Window.orderBy(*reports.report_order(report)))
@@ -284,7 +286,7 @@ def _events(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/events.parquet")
 
 
-def _arn() -> F.Column:
+def _arn() -> Column:
     return F.concat(F.lit("arn:aws:lambda:zone:acct:function:"), "event_type", F.lit(":$LATEST"))
 
 
@@ -293,14 +295,14 @@ def segments(spark: SparkSession, sf: str) -> DataFrame:
     return _events(spark, sf).select("event_id", segment(arn, ":", 6).alias("job"))
 
 
-def _s3(key) -> F.Column:
+def _s3(key: Column) -> Column:
     return F.struct(
         F.struct(F.lit("sales").alias("name")).alias("bucket"),
         F.struct(key.alias("key")).alias("object"),
     )
 
 
-def _key() -> F.Column:
+def _key() -> Column:
     return F.concat(
         F.lit("sales_records_in/shop+%2B"), "user_id", F.lit("/"), "event_id", F.lit("+100%.csv")
     )
@@ -314,14 +316,14 @@ def load_events(spark: SparkSession, sf: str) -> DataFrame:
     return al.parse_load_events(events, "event").drop("event")
 
 
-def _fanout_message() -> F.Column:
+def _fanout_message() -> Column:
     company = F.concat(F.lit('shop "'), "user_id", F.lit('"'))
     answer = F.struct(company.alias("company_id"))
     request = F.struct(F.array(F.struct(_s3(_key()).alias("s3"))).alias("Records"))
     return F.to_json(F.struct(request.alias("requestPayload"), answer.alias("responsePayload")))
 
 
-def _fanout_event() -> F.Column:
+def _fanout_event() -> Column:
     record = F.struct(F.struct(_fanout_message().alias("Message")).alias("Sns"))
     return F.struct(F.array(record).alias("Records"))
 

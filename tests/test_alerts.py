@@ -36,14 +36,14 @@ def test_failures(spark):
     message = json.dumps({"requestPayload": {"Records": [{"s3": S3}]}})
     load = {**context, "requestPayload": {"Records": [{"s3": S3}]}, "responsePayload": error}
     report = {**context, "requestPayload": {"Records": [{"Sns": {"Message": message}}]}}
-    plain = {**context, "responsePayload": {"errorMessage": "no"}}
+    plain = {**context, "responsePayload": {"errorMessage": "no", "stackTrace": "one text"}}
     got = failure_alerts(events(spark, load, report, plain, {}))
     file = "s3://sales/sales_records_in/g a+b/c.csv"
     columns = ["job", "company", "file", "error_type", "error_message", "stack_trace"]
     assert rows(got, *columns) == [
         ("cleanSales", "g a+b", file, "ValueError", "no", "a\nb"),
         ("cleanSales", "g a+b", file, None, None, None),
-        ("cleanSales", None, None, None, "no", None),
+        ("cleanSales", None, None, None, "no", "one text"),
         (None,) * 6,
     ]
 

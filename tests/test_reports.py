@@ -15,7 +15,6 @@ from salesmill.operators.reports import (
     sales_summary,
 )
 from salesmill.schema import REPORTS, Report
-
 from salesmill.sinks.report_files import write_report_csv, write_report_pipe, write_reports
 from salesmill.sources.sales_table import append_summary
 from salesmill.streaming.ingest import refresh_reports
