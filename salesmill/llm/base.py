@@ -81,4 +81,30 @@ def arrow_batch(schema: pa.Schema, columns: dict) -> pa.RecordBatch:
     )
 
 
+class Filter:
+    """Bits of the hashes in a column of numbers, to leave out rows before a shuffle.
+
+    It has a fixed size, whatever the input: as it fills up it spares less, and
+    the join behind it decides.
+    """
+
+    BITS = 1 << 26
+
+    def __init__(self, hashes: DataFrame):
+        (name,) = hashes.columns
+        rows = (
+            hashes.select(F.expr(f"`{name}` & {self.BITS - 1}").alias("slot"))
+            .groupBy(F.expr("slot div 64").alias("at"))
+            .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("bits"))
+        )
+        table = rows.toArrow()  # at most BITS / 64 rows
+        bits = np.zeros(self.BITS // 64, np.int64)
+        bits[table["at"].to_numpy()] = table["bits"].to_numpy()
+        self.bits = bits.view(np.uint64)
+
+    def may_hold(self, hashes: np.ndarray) -> np.ndarray:
+        slot = hashes.astype(np.int64) & (self.BITS - 1)
+        return (self.bits[slot >> 6] >> (slot & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
+
+
 Mapper = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]

@@ -274,31 +274,32 @@ def _placer(runs: dict[int, np.ndarray]):
 
 
 def pack(cut: DataFrame, capacity: int = SEQUENCE, nodes: int = NODES) -> DataFrame:
-    """Sequences and offsets of pieces that lie in a table already written.
+    """Sequences and offsets of pieces in a written table, each with a number ``row`` of its own.
 
     A piece's rank among those of its length is its rank within a small group of
     them plus the sizes of the groups before, so that a length which many pieces
     share is still ranked by many tasks.
     """
     spark = cut.sparkSession
+    names = [n for n in cut.columns if n != "row"]
     counts = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}
     runs = places(Packer(counts, capacity, nodes).solve())
-    # The table is fixed, so rows keep their numbers when a task runs again.
-    rows = cut.withColumn("row", F.monotonically_increasing_id())
-    rows = rows.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(4 * shuffle_width(spark))))
+    rows = cut.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(4 * shuffle_width(spark))))
     sizes = rows.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n"))
     earlier = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select("length", "salt", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
     inner = F.row_number().over(Window.partitionBy("length", "salt").orderBy("row"))
     ranked = rows.withColumn("inner", inner - 1).join(sizes, ["length", "salt"])
-    ranked = ranked.select(*cut.columns, (F.col("base") + F.col("inner")).alias("rank"))
-    schema = ", ".join(f"`{n}` {t}" for n, t in cut.dtypes) + ", sequence_id long, offset long"
+    ranked = ranked.select(*names, (F.col("base") + F.col("inner")).alias("rank"))
+    schema = ", ".join(f"`{n}` {t}" for n, t in cut.dtypes if n != "row") + ", sequence_id long, offset long"
     return ranked.mapInArrow(_placer(runs), schema)
 
 
 def pack_documents(docs: DataFrame, capacity: int = SEQUENCE) -> DataFrame:
     """Pieces of all documents with their places in as few sequences as were found."""
-    return pack(saved(pieces(docs, capacity), "pieces"), capacity)
+    # Numbers given here are fixed once they are written.
+    cut = pieces(docs, capacity).withColumn("row", F.monotonically_increasing_id())
+    return pack(saved(cut, "pieces"), capacity)
 
 
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from salesmill.llm.ball_tree import op9_exact_top_k
+from salesmill.llm.language import op8_language
 from salesmill.llm.near_copies import op6_near_copies
 from salesmill.llm.nearest import op2_nearest
 from salesmill.llm.packing import op4_best_fit_packing
+from salesmill.llm.sentence_pieces import op10_sentencepiece
+from salesmill.llm.suffix_arrays import op7_repeated_passages
+from salesmill.llm.surrogates import op3_surrogates
 from salesmill.llm.token_codes import op1_token_codes
 from salesmill.llm.toxicity import op5_toxicity
 
@@ -14,10 +18,14 @@ QUERIES = {
     for f in (
         op1_token_codes,
         op2_nearest,
+        op3_surrogates,
         op4_best_fit_packing,
         op5_toxicity,
         op6_near_copies,
+        op7_repeated_passages,
+        op8_language,
         op9_exact_top_k,
+        op10_sentencepiece,
     )
 }
 
