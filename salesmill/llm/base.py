@@ -13,6 +13,12 @@ from pyspark.sql import functions as F
 from salesmill.session import scratch_path
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Texts go to Python some megabytes at a time: rows are of very different sizes."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

@@ -20,7 +20,7 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 TABLE_BITS = 21  # at most a million parts are remembered
 LONGEST = 64  # longer parts are seldom seen twice
-STEP = 4 << 20  # bytes looked at together
+STEP = 1 << 20  # bytes looked at together
 MARK = "\x01"
 
 # White space beyond ASCII; texts with any go to the library as they are.

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmill.llm.base import held_out, read, slices, texts_of
+from salesmill.llm.base import held_out, read, slices, small_batches, texts_of
 
 UNKNOWN = "und"
 WINDOW = 256
@@ -33,7 +33,7 @@ FILTERS = 16  # per width
 SAMPLE = 2000  # labelled texts the network learns from
 STEPS = 400
 BATCH = 64
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 
 
 class Network:
@@ -210,6 +210,7 @@ def _predictor(held):
 
 def identified(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """All rows and columns of the documents, and ``lang_pred`` and ``score``."""
+    small_batches(docs.sparkSession)
     net = docs.sparkSession.sparkContext.broadcast(trained(docs, sample))
     rows = docs.drop("lang_pred", "score")
     schema = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes) + ", lang_pred string, score double"

@@ -31,14 +31,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmill.llm.base import arrow_batch, read, saved, shuffle_width, slices, texts_of
+from salesmill.llm.base import arrow_batch, read, saved, shuffle_width, slices, small_batches, texts_of
 from salesmill.llm.components import components
 
 WORDS = 3
 SEED = 42
 RADIUS = 2
 SHARD = 2000  # fingerprints of one tree; larger shards are dealt again
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 
 PRINT = pa.schema([("doc_id", pa.int64()), ("print", pa.int64())])
 
@@ -241,6 +241,7 @@ def near_copies(
     docs: DataFrame, words: int = WORDS, radius: int = RADIUS, shard: int = SHARD
 ) -> DataFrame:
     """(doc_id, fingerprint, component_id) of every document."""
+    small_batches(docs.sparkSession)
     prints = saved(fingerprints(docs, words), "prints")
     named = prints.groupBy("print").agg(F.min("doc_id").alias("least"))
     roots = components(links(named.select("print"), radius, shard))

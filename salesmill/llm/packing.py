@@ -27,14 +27,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from salesmill.llm.base import arrow_batch, read, saved, shuffle_width, slices, texts_of
+from salesmill.llm.base import arrow_batch, read, saved, shuffle_width, slices, small_batches, texts_of
 from salesmill.llm.encode import BYTE_BPE, encoder
 
 SEQUENCE = 2048
 END_ID = 0
 NODES = 4000  # of the search
 FILLINGS = 6  # tried at each of its nodes
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 
 PIECE = pa.schema(
     [
@@ -297,6 +297,7 @@ def pack(cut: DataFrame, capacity: int = SEQUENCE, nodes: int = NODES) -> DataFr
 
 def pack_documents(docs: DataFrame, capacity: int = SEQUENCE) -> DataFrame:
     """Pieces of all documents with their places in as few sequences as were found."""
+    small_batches(docs.sparkSession)
     # Numbers given here are fixed once they are written.
     cut = pieces(docs, capacity).withColumn("row", F.monotonically_increasing_id())
     return pack(saved(cut, "pieces"), capacity)

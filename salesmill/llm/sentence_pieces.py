@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmill.llm.base import arrow_batch, read, slices, texts_of
+from salesmill.llm.base import arrow_batch, read, slices, small_batches, texts_of
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 SPACE = "▁"
@@ -41,7 +41,7 @@ REMEMBERED = 1_000_000  # words a worker keeps
 LONGEST = 64  # longer words are seldom seen twice
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -264,6 +264,7 @@ def encoded(docs: DataFrame, path: str = MODEL) -> DataFrame:
             texts = [t.decode("utf-8", "replace") for t in texts_of(batch.column("text"))]
             yield arrow_batch(PIECES, {"doc_id": batch.column("doc_id"), "ids": model(path).encode(texts)})
 
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long"), "text")
     return rows.mapInArrow(run, "doc_id long, ids array<int>")
 
@@ -303,5 +304,6 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                 }
             )
 
+    small_batches(spark)
     rows = read(spark, sf_dir, "documents").select("doc_id", "text")
     return rows.mapInArrow(run, "doc_id long, n_ids long, ids_crc32 long, text_crc32 long, same boolean")

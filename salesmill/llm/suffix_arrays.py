@@ -44,14 +44,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmill.llm.base import Filter, arrow_batch, concatenated, read, row_key, saved, shuffle_width, slices, texts_of
+from salesmill.llm.base import (
+    Filter,
+    arrow_batch,
+    concatenated,
+    read,
+    row_key,
+    saved,
+    shuffle_width,
+    slices,
+    small_batches,
+    texts_of,
+)
 from salesmill.llm.hashing import mixed, prefixes, spans
 
 LENGTH = 200
 CORE = 64
 SHARD = 128  # different contexts of one core in a shard
 SHARD_BYTES = 1 << 20  # contexts sorted together
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 
 # Strings that start from ``low`` to ``high`` in the text ``k`` and hold the same
 # anchor, at ``place``; ``a`` and ``b`` are the ends that the range has where no
@@ -417,6 +428,7 @@ ADDED = ("kept", "n_bytes", "n_removed", "n_spans")
 def without_repeats(docs: DataFrame, shard: int = SHARD) -> DataFrame:
     """The documents with ``kept`` (bytes), ``n_bytes``, ``n_removed`` and ``n_spans``."""
     spark = docs.sparkSession
+    small_batches(spark)
     docs = docs.drop(*ADDED, "k", "runs").withColumn("k", row_key())
     runs = marks(docs, shard).groupBy("k").agg(F.collect_set(F.struct("start", "stop")).alias("runs"))
     runs = saved(runs, "runs")

@@ -36,11 +36,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmill.llm.base import arrow_batch, read, saved, slices
+from salesmill.llm.base import arrow_batch, read, saved, slices, small_batches
 
 KEY = b"surrogates of the checks"  # a user passes a secret of their own
 LOOSE = 6
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 
 # Titles and the gender they tell: fixed values.
 TITLES = {
@@ -265,6 +265,7 @@ def assigned(inventory: DataFrame, key: bytes = KEY) -> DataFrame:
 
 def replaced(docs: DataFrame, key: bytes = KEY) -> DataFrame:
     """The documents with surrogates for all entities, and ``n_replaced``."""
+    small_batches(docs.sparkSession)
     docs = docs.drop("n_replaced")
     keyed = docs.withColumn("_row", F.xxhash64(F.col("text")))
     found = keyed.select(F.col("_row").alias("row"), "text").mapInArrow(_finder, f"row long, {FOUND_SQL}")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from salesmill.llm.base import arrow_batch, read, shuffle_width, slices, texts_of
+from salesmill.llm.base import arrow_batch, read, shuffle_width, slices, small_batches, texts_of
 from salesmill.llm.encode import WORD_BPE, encoder
 from salesmill.session import scratch_path
 
@@ -36,7 +36,7 @@ SEGMENT_IDS = 1 << 19
 STRETCH = 1 << 14  # ids of a segment that are looked up together
 BLOCK = 512  # bits counted together in a rank directory
 MAGIC = 0x31434144
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 
 SEGMENT = pa.schema(
     [
@@ -191,6 +191,7 @@ def write_codes(
     the order asks for. Positions in the corpus need one number per partition.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     order = [F.col("doc_id"), F.xxhash64("text")]
     (
         docs.select(F.col("doc_id").cast("long"), "text")
