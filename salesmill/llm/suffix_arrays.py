@@ -146,47 +146,56 @@ def _finder(keep):
     return run
 
 
-def sorted_suffixes(data: np.ndarray) -> np.ndarray:
-    """Places in the order of what follows them, by Larsson-Sadakane refinement."""
-    n = len(data)
+def words_at(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one number that sorts like them."""
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
-    key = np.zeros(n, np.uint64)
+    key = np.zeros(len(data), np.uint64)
     for j in range(8):
-        key = key << np.uint64(8) | padded[j : j + n]
-    order = np.argsort(key, kind="stable")
+        key = key << np.uint64(8) | padded[j : j + len(data)]
+    return key
+
+
+def sorted_suffixes(key: np.ndarray) -> np.ndarray:
+    """Places in the order of what follows them, by Larsson-Sadakane refinement.
+
+    ``key`` has the eight bytes from each place on.
+    """
+    n = len(key)
+    order = np.argsort(key)
     fresh = np.ones(n, bool)
     fresh[1:] = key[order[1:]] != key[order[:-1]]
     # A suffix has the rank of the first place of its group.
     rank = np.zeros(n + 1, np.int64)
     rank[order] = np.maximum.accumulate(np.where(fresh, np.arange(n), 0)) + 1
     have = 8
-    while True:
-        ends = np.append(fresh[1:], True)
-        open_ = np.flatnonzero(~(fresh & ends))  # places in groups of two or more
-        if not len(open_):
-            break
+    # Places in groups of two or more.
+    open_ = np.flatnonzero(~(fresh & np.append(fresh[1:], True)))
+    while len(open_):
         suffix = order[open_]
-        then = rank[np.minimum(suffix + have, n)]
-        group = rank[suffix]
-        turn = np.lexsort((then, group))
-        suffix, then, group = suffix[turn], then[turn], group[turn]
+        pair = rank[suffix] * (n + 1) + rank[np.minimum(suffix + have, n)]
+        turn = np.argsort(pair)
+        suffix, pair = suffix[turn], pair[turn]
         order[open_] = suffix
         parted = np.ones(len(open_), bool)
-        parted[1:] = (group[1:] != group[:-1]) | (then[1:] != then[:-1])
-        fresh[open_] = parted
+        parted[1:] = pair[1:] != pair[:-1]
         rank[suffix] = open_[np.maximum.accumulate(np.where(parted, np.arange(len(open_)), 0))] + 1
+        open_ = open_[~(parted & np.append(parted[1:], True))]
         have *= 2
     return order
 
 
-def common_prefixes(data: np.ndarray, edges: np.ndarray, order: np.ndarray, limit: int) -> np.ndarray:
+# Below these, two words of eight bytes differ only after one, two ... bytes.
+_EQUAL = np.array([1 << 8 * j for j in range(7, -1, -1)], np.uint64)
+
+
+def common_prefixes(key: np.ndarray, edges: np.ndarray, order: np.ndarray, limit: int) -> np.ndarray:
     """Bytes, up to ``limit``, that each suffix of the order shares with the one before it.
 
     By Kasai's rule, a suffix shares at least one byte less than the suffix one
     place before it; the first places of all contexts are taken together, then the
     second ones, and so on.
     """
-    n = len(data)
+    n = len(key)
     before = np.full(n, -1, np.int64)  # the neighbour of each suffix
     before[order[1:]] = order[:-1]
     shared = np.zeros(n, np.int64)
@@ -202,14 +211,10 @@ def common_prefixes(data: np.ndarray, edges: np.ndarray, order: np.ndarray, limi
         h = np.minimum(h, room)
         on = np.flatnonzero(h < room)
         while len(on):
-            step = np.minimum(room[on] - h[on], 16)
-            at = np.arange(16)
-            a = data[np.minimum((i[on] + h[on])[:, None] + at, n - 1)]
-            b = data[np.minimum((near[on] + h[on])[:, None] + at, n - 1)]
-            differs = (a != b) | (at[None, :] >= step[:, None])
-            run = np.where(differs.any(1), differs.argmax(1), 16)
-            h[on] += run
-            on = on[(run == 16) & (h[on] < room[on])]
+            differ = key[i[on] + h[on]] ^ key[near[on] + h[on]]
+            h[on] += (differ[:, None] < _EQUAL).sum(1)
+            on = on[(differ == 0) & (h[on] < room[on])]
+        h = np.minimum(h, room)
         shared[i] = h
         have[live] = h
     out = np.zeros(n, np.int64)
@@ -217,16 +222,17 @@ def common_prefixes(data: np.ndarray, edges: np.ndarray, order: np.ndarray, limi
     return out
 
 
-def repeated(bodies: list[bytes], place: np.ndarray, low: np.ndarray) -> list[np.ndarray]:
-    """For each context, the offsets whose string also starts at another place of the corpus.
+def repeated(bodies: list[bytes], place: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Contexts and offsets of strings that also start at another place of the corpus.
 
     A context is the bytes from ``low`` on of the text numbered ``place``.
     """
     data, edges = concatenated(bodies)
-    order = sorted_suffixes(data)
-    shared = common_prefixes(data, edges, order, LENGTH)
-    run = np.cumsum(shared < LENGTH)
-    context = np.searchsorted(edges, order, side="right") - 1
+    key = words_at(data)
+    order = sorted_suffixes(key)
+    run = np.cumsum(common_prefixes(key, edges, order, LENGTH) < LENGTH)
+    owner = np.repeat(np.arange(len(bodies)), np.diff(edges))
+    context = owner[order]
     whole = edges[context + 1] - order >= LENGTH  # other suffixes leave their context
     order, run, context = order[whole], run[whole], context[whole]
     offset = order - edges[context]
@@ -238,16 +244,7 @@ def repeated(bodies: list[bytes], place: np.ndarray, low: np.ndarray) -> list[np
     first = np.flatnonzero(turn)
     several = np.add.reduceat(other.astype(np.int64), first) > 0 if len(first) else turn
     hit = np.flatnonzero(several[np.cumsum(turn) - 1])
-    by = np.argsort(context[hit], kind="stable")
-    cuts = np.searchsorted(context[hit][by], np.arange(1, len(bodies)))
-    return np.split(offset[hit][by], cuts)
-
-
-def _runs(starts: np.ndarray) -> list[tuple[int, int]]:
-    """Neighbouring string starts as runs of covered bytes."""
-    starts = np.sort(starts)
-    cut = np.flatnonzero(np.diff(starts) > LENGTH) + 1
-    return [(int(p[0]), int(p[-1]) + LENGTH) for p in np.split(starts, cut) if len(p)]
+    return context[hit], offset[hit]
 
 
 def _sharder(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,14 +253,17 @@ def _sharder(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     size = 0
 
     def marked(rows: list[dict]) -> pa.RecordBatch:
-        _, text = np.unique([r["k"] for r in rows], return_inverse=True)
+        texts, text = np.unique([r["k"] for r in rows], return_inverse=True)
         low = np.array([r["low"] for r in rows])
-        found = repeated([r["body"] for r in rows], text, low)
-        marks = [
-            (r["k"], r["low"] + s, r["low"] + e) for r, at in zip(rows, found) if len(at) for s, e in _runs(at)
-        ]
-        k, start, stop = zip(*marks) if marks else ((), (), ())
-        return arrow_batch(MARK, {"k": k, "start": start, "stop": stop})
+        context, offset = repeated([r["body"] for r in rows], text, low)
+        # Neighbouring strings of a text are one run of bytes.
+        name, start = text[context], low[context] + offset
+        turn = np.lexsort((start, name))
+        name, start = name[turn], start[turn]
+        fresh = np.ones(len(name), bool)
+        fresh[1:] = (name[1:] != name[:-1]) | (start[1:] > start[:-1] + LENGTH)
+        last = np.append(np.flatnonzero(fresh)[1:], len(name)) - 1 if len(name) else np.zeros(0, np.int64)
+        return arrow_batch(MARK, {"k": texts[name[fresh]], "start": start[fresh], "stop": start[last] + LENGTH})
 
     for batch in batches:
         for row in batch.to_pylist():
