@@ -135,7 +135,7 @@ def _rank(bits: np.ndarray, ranks: np.ndarray, at: np.ndarray) -> np.ndarray:
     first = block * (BLOCK // 8)
     columns = first[:, None] + np.arange(BLOCK // 8)
     whole = columns < (at >> 3)[:, None]
-    counts = np.where(whole, _ONES[bits[np.minimum(columns, len(bits) - 1)]], 0).sum(1)
+    counts = np.where(whole, _ONES[bits[np.minimum(columns, len(bits) - 1)]], 0).sum(1, dtype=np.int64)
     last = bits[np.minimum(at >> 3, len(bits) - 1)] & ((1 << (at & 7)) - 1).astype(np.uint8)
     return ranks[block].astype(np.int64) + counts + _ONES[last]
 
