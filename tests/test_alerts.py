@@ -3,8 +3,10 @@
 import json
 
 from conftest import rows
+from pyspark.sql import functions as F
 
 from salesmill import alert_text, failure_alerts, parse_fanout, parse_load_events
+from salesmill.functions import json_find_first
 
 S3 = {"bucket": {"name": "sales"}, "object": {"key": "sales_records_in/g+a%2Bb/c.csv"}}
 ARN = "arn:aws:lambda:zone:acct:function:cleanSales:$LATEST"
@@ -55,3 +57,9 @@ def test_alert_text(spark):
         "There was an error while executing Pipeline.\n\nLambda: cleanSales\n"
         "Error Type: Oops.\n\n" + "-" * 56 + "\n" + json.dumps(event, indent=2)
     )
+
+
+def test_half_a_surrogate_pair_is_no_end_of_the_job(spark):
+    event = '{"errorMessage": "bad \\ud800 text", "errorType": "E", "stackTrace": ["at \\udc00"]}'
+    events = spark.createDataFrame([(event,)], "event string")
+    assert events.select(json_find_first(F.col("event"), "errorMessage")).first()[0] == "bad ? text"

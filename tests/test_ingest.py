@@ -138,3 +138,21 @@ def test_scan_of_some_companies(spark, layout):
     assert sales_table(spark, layout.history, ["nobody"]).count() == 0
     one = sales_table(spark, layout.history).filter("company_name = 'a'")
     assert "PartitionFilters: [isnotnull(company_name" in one._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("step,job", [("_append", "load"), ("refresh_reports", "reports")])
+def test_a_failed_job_leaves_an_alert(spark, layout, monkeypatch, step, job):
+    drop(layout, "acme", "1.csv", line(invoice_id="1"))
+
+    def fail(*_):
+        raise ValueError(f"no {step}")
+
+    with monkeypatch.context() as m:
+        m.setattr(ingest, step, fail)
+        with pytest.raises(Exception, match=f"no {step}"):
+            run_ingest(spark, layout)
+    (alert,) = spark.read.parquet(layout.alerts).collect()
+    assert (alert["job"], alert["error_type"], alert["error_message"]) == (job, "ValueError", f"no {step}")
+    assert "Traceback" in alert["stack_trace"]
+    run_ingest(spark, layout)
+    assert history(spark, layout) == [("acme", "1", 7)]
