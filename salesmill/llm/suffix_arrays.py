@@ -22,8 +22,8 @@ the rank of what follows. Common prefixes of neighbours come by Kasai's rule, al
 contexts in step. Where neighbours share ``LENGTH`` bytes and lie at different
 places of the corpus, both strings go. Suffix arrays of arbitrary shards would
 have to be merged pairwise, which grows with the square of their number; here
-equal strings are in one shard already, and the merge that remains, of the runs
-that several shards find in one text, is a binary search over their edges.
+equal strings are in one shard already, so no suffix is looked up in another one.
+The runs that several shards find in one text are sorted and joined.
 
 Equality of contexts is that of two 64-bit hashes and of lengths. Filters of
 fixed size keep rows that cannot matter out of the shuffles.
