@@ -49,7 +49,25 @@ TITLES = {
     "Dr": "n", "Prof": "n",
 }
 _TITLE = "|".join(sorted(TITLES, key=len, reverse=True))
-_NAME = r"[^\W\d_a-z][^\W\d_]+(?:[-'][^\W\d_]+)*"
+# Particles inside a name: fixed values.
+PARTICLES = (
+    "von vom van den der dem zu zum zur de del della dello di da do dos das du des la le las los al el bin bint ibn "
+    "abu ben ter ten te af av"
+).split()
+_SMALL = "".join(c for c in map(chr, range(0x80, 0x10000)) if c.islower() and c.isalpha())
+_UP = rf"[^\W\d_a-z{_SMALL}]"
+_REST = r"[^\W\d_]+(?:[-'’][^\W\d_]+)*"
+_FULL = rf"(?!(?:{_TITLE})\b)(?:{_UP}|(?:[dl]|al|el|[OD])[-'’]{_UP})(?:{_REST}|['’]{_REST})"
+_BEFORE = rf"(?:{'|'.join(PARTICLES)}) |(?:{_UP}\.[ -]?)+(?<=[ .-])|{_UP} (?={_UP})"
+# Initials and particles, then capitalised parts in any number; the first part may be of any letter but a-z.
+_NAME = (
+    rf"(?:{_BEFORE})*(?:{_FULL}|(?!(?:{_TITLE})\b)[^\W\d_a-z]{_REST})"
+    rf"(?: (?:{_BEFORE})*{_FULL}| (?:{_UP}\.)+)*"
+)
+# Country codes of one and two digits; all others have three. No code begins another.
+_CODES = "1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"
+_COUNTRY = re.compile(rf"{_CODES}|\d{{3}}")
+_ON = r"(?:\)?[ .\-]?\(?\d)"
 
 # In order of precedence; the last group that matched is what gets replaced.
 PATTERNS = (
@@ -67,7 +85,7 @@ PATTERNS = (
         r"(?<![\w+.\-])(\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,4}(?:[ .\-]?\d{2,4}){1,3}"
         r"|\(\d{2,4}\)[ .\-]?\d{3,4}[ .\-]?\d{3,4}|\d{3}[.\-]\d{3}[.\-]\d{4})(?![\w\-])"
     )),
-    ("name", re.compile(rf"\b(?:{_TITLE})\.? ({_NAME}(?: {_NAME})?)")),
+    ("name", re.compile(rf"\b(?:(?:{_TITLE})\.? )+({_NAME})")),
 )
 _ANY_TITLE = re.compile(rf"\b(?:{_TITLE})\b")
 _DIGIT = re.compile(r"\d")
@@ -180,7 +198,13 @@ def surrogate(key: bytes, kind: str, name: str, turn: int) -> str:
         number = "".join(str(int(c, 36)) for c in body + name[:2] + "00")
         return f"{name[:2]}{98 - int(number) % 97:02d}{body}"
     if kind.startswith("name-"):
-        return " ".join(_drawn_name(d, part, kind[-1], more if not i else 0) for i, part in enumerate(name.split(" ")))
+        parts = name.split(" ")
+        small = [p.endswith(".") or len(p) == 1 or p in PARTICLES and i < len(parts) - 1 for i, p in enumerate(parts)]
+        first = small.index(False) if False in small else 0
+        return " ".join(
+            _drawn_small(d, part) if few and i != first else _drawn_name(d, part, kind[-1], more if i == first else 0)
+            for i, (part, few) in enumerate(zip(parts, small))
+        )
     if kind == "phone" and "+" in name:
         code, _, rest = name.partition("+")
         return f"{code}+{d.like(rest)}{''.join(d.of('0123456789') for _ in range(more))}"
@@ -205,12 +229,22 @@ def rendered(kind: str, mention: str, drawn: str) -> str:
     if kind == "email":
         return drawn.upper() if mention.isupper() else drawn
     if kind.startswith("name-"):
-        return drawn.upper() if mention.isupper() else drawn.title()
+        pairs = zip(mention.split(" "), drawn.split(" "))
+        return " ".join(n if m.islower() else n.upper() if m.isupper() else n.title() for m, n in pairs)
     return drawn
 
 
 FOUND = pa.schema([("kind", pa.string()), ("name", pa.string())])
 FOUND_SQL = "kind string, name string"
+def _drawn_small(d: Draw, part: str) -> str:
+    """Another particle, or other initials with the same points."""
+    if part in PARTICLES:
+        return d.of(PARTICLES)
+    cyrillic = any("CYRILLIC" in unicodedata.name(c, "") for c in part)
+    consonants, _ = LETTERS["CYRILLIC" if cyrillic else "LATIN"]
+    return "".join(d.of(consonants) if c.isalpha() else c for c in part)
+
+
 
 
 def _finder(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -97,6 +97,29 @@ def test_entities_and_their_surrogates(documents):
     assert surrogates.replaced(documents()).count() == 0
 
 
+LONG_NAMES = {
+    "Mr John Michael Smith": "John Michael Smith",
+    "Dr John F. Kennedy": "John F. Kennedy",
+    "Frau Anna Maria von Weber": "Anna Maria von Weber",
+    "Prof. Dr. Hans-Peter de la Cruz Garcia": "Hans-Peter de la Cruz Garcia",
+    "Dr J. R. R. Tolkien": "J. R. R. Tolkien",
+    "Mr Omar al Rashid": "Omar al Rashid",
+    "Mme von Weber": "von Weber",
+    "Господин Иван Петрович Иванов": "Иван Петрович Иванов",
+}
+
+
+def test_names_of_many_parts_go_whole(documents):
+    rows = [(i, f"then {t} went élan, как всегда.") for i, t in enumerate(LONG_NAMES)]
+    got = {r["doc_id"]: r["text"] for r in surrogates.replaced(documents(*rows)).collect()}
+    for i, (title, name) in enumerate(LONG_NAMES.items()):
+        text = rows[i][1]
+        assert [text[s:e] for s, e, *_ in surrogates.entities(text)] == [name]
+        words = got[i].removeprefix(f"then {title.removesuffix(name)}").removesuffix(" went élan, как всегда.").split()
+        assert len(words) == len(name.split())
+        assert not {w for w in name.split() if len(w) > 3} & set(words)
+
+
 def test_small_formats_stay_distinct(spark):
     """All 90 addresses of a format cannot stay in it: the others get longer ones."""
     names = [f"{i}.{j}.0.0" for i in range(9) for j in range(10)]
