@@ -6,8 +6,9 @@ long hexadecimal strings) and names led by a title. An entity is a kind and a
 canonical form (digits without separators, lower case where case means nothing).
 Its surrogate comes from an HMAC of both under a secret key and keeps kind and
 format: letters of the same script and case, digits for digits, country codes,
-the first digit of a card and whether its check digit fits, the gender that a
-title tells. A mention keeps its own separators and case.
+the first digit of a card and whether its check digit fits, the gender that the
+titles of a name tell. A name is one entity under all its titles, an international
+number under all notations. A mention keeps its own separators and case.
 
 Every entity of the corpus has one surrogate, so mentions stay coreferent. Different
 entities keep different ones, and no surrogate is an entity that occurs: Spark
@@ -82,7 +83,8 @@ PATTERNS = (
     ("ip", re.compile(r"(?<![\w.])((?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d))(?!\.?\w)")),
     ("ssn", re.compile(r"(?<![\w\-])(\d{3}-\d{2}-\d{4})(?![\w\-])")),
     ("phone", re.compile(
-        r"(?<![\w+.\-])(\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,4}(?:[ .\-]?\d{2,4}){1,3}"
+        # A number ends with the group that fills it: ten digits after 1 and 7, twelve after other codes.
+        rf"(?<![\w+.\-])(\+(?:\d{{7,15}}(?!\d)|[17]{_ON}{{6,10}}(?!\d)|(?:{_CODES}|\d{{3}}){_ON}{{4,12}}(?!\d))"
         r"|\(\d{2,4}\)[ .\-]?\d{3,4}[ .\-]?\d{3,4}|\d{3}[.\-]\d{3}[.\-]\d{4})(?![\w\-])"
     )),
     ("name", re.compile(rf"\b(?:(?:{_TITLE})\.? )+({_NAME})")),
@@ -107,7 +109,8 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
             continue
         if kind in ("iban", "card", "ip", "ssn", "phone") and not digits:
             continue
-        for m in pattern.finditer(text):
+        # What is taken already ends a phone number, whatever it looks like.
+        for m in pattern.finditer(_masked(text, taken) if kind == "phone" else text):
             s, e = m.span(1)
             if all(e <= a or s >= b for a, b, *_ in taken):
                 name = canonical(kind, m[1], m[0])
@@ -116,21 +119,33 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
     return sorted(taken)
 
 
+def _masked(text: str, taken: list[tuple[int, int, str, str]]) -> str:
+    parts, at = [], 0
+    for s, e, *_ in sorted(taken):
+        parts += [text[at:s], "_" * (e - s)]
+        at = e
+    return "".join([*parts, text[at:]])
+
+
 def canonical(kind: str, mention: str, whole: str) -> tuple[str, str] | None:
     if kind in ("card", "ssn", "phone"):
         digits = re.sub(r"\D", "", mention)
         if kind == "phone" and not 7 <= len(digits) <= 15:
             return None
         # A leading country code is part of the format that has to stay.
-        code = re.match(r"\+(\d{1,3})[ .\-(]", mention) if kind == "phone" else None
-        return kind, f"{code[1]}+{digits[len(code[1]) :]}" if code else digits
+        if mention.startswith("+"):
+            digits = re.sub(r"\D", "", mention.replace("(0)", ""))
+            code = _COUNTRY.match(digits)[0]
+            return kind, f"{code}+{digits[len(code) :]}"
+        return kind, digits
     if kind == "iban":
         return kind, mention.replace(" ", "")
     if kind == "email":
         return kind, mention.lower()
     if kind == "name":
-        gender = TITLES[re.match(_TITLE, whole)[0]]
-        return f"name-{gender}", " ".join(mention.split()).lower()
+        # All titles before the name; those without a gender say nothing.
+        told = {TITLES[t] for t in _ANY_TITLE.findall(whole[: len(whole) - len(mention)])} - {"n"}
+        return f"name-{told.pop() if len(told) == 1 else 'n'}", " ".join(mention.split()).lower()
     if kind == "secret" and mention.isalpha():
         return None  # a word, as in "password: something"
     return kind, mention
@@ -178,7 +193,7 @@ def luhn(digits: str) -> bool:
 
 def surrogate(key: bytes, kind: str, name: str, turn: int) -> str:
     """The canonical form of what stands for an entity at its ``turn``-th draw."""
-    d = Draw(key, kind, name, turn)
+    d = Draw(key, "name" if kind.startswith("name-") else kind, name, turn)
     more = max(0, turn - LOOSE + 1)
     if kind == "email":
         local, _, domain = name.partition("@")
@@ -220,11 +235,21 @@ def _drawn_name(d: Draw, part: str, gender: str, more: int) -> str:
     return out[:-1] + ends.get(gender, out[-1])
 
 
+def _drawn_small(d: Draw, part: str) -> str:
+    """Another particle, or other initials with the same points."""
+    if part in PARTICLES:
+        return d.of(PARTICLES)
+    cyrillic = any("CYRILLIC" in unicodedata.name(c, "") for c in part)
+    consonants, _ = LETTERS["CYRILLIC" if cyrillic else "LATIN"]
+    return "".join(d.of(consonants) if c.isalpha() else c for c in part)
+
+
 def rendered(kind: str, mention: str, drawn: str) -> str:
     """A surrogate in the mention's own separators and case."""
     if kind in ("card", "ssn", "phone", "iban"):
         left = list(drawn.replace("+", ""))
-        out = [left.pop(0) if c.isalnum() and left else c for c in mention]
+        trunk = mention.find("(0)") + 1 if kind == "phone" and mention.startswith("+") else 0
+        out = [left.pop(0) if c.isalnum() and left and (not trunk or i != trunk) else c for i, c in enumerate(mention)]
         return "".join(out + left)
     if kind == "email":
         return drawn.upper() if mention.isupper() else drawn
@@ -236,15 +261,6 @@ def rendered(kind: str, mention: str, drawn: str) -> str:
 
 FOUND = pa.schema([("kind", pa.string()), ("name", pa.string())])
 FOUND_SQL = "kind string, name string"
-def _drawn_small(d: Draw, part: str) -> str:
-    """Another particle, or other initials with the same points."""
-    if part in PARTICLES:
-        return d.of(PARTICLES)
-    cyrillic = any("CYRILLIC" in unicodedata.name(c, "") for c in part)
-    consonants, _ = LETTERS["CYRILLIC" if cyrillic else "LATIN"]
-    return "".join(d.of(consonants) if c.isalpha() else c for c in part)
-
-
 
 
 def _finder(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,6 +275,22 @@ def _finder(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield arrow_batch(pa.schema([("row", pa.int64()), *FOUND]), rows)
 
 
+def family() -> F.Column:
+    """The kind without what a title tells: one name is one entity, whatever its titles."""
+    return F.when(F.col("kind").startswith("name-"), "name").otherwise(F.col("kind"))
+
+
+def inventoried(found: DataFrame) -> DataFrame:
+    """(kind, name) of each entity once; a name has the gender that its titles tell, none if they differ."""
+    told = lambda g: F.max(F.col("kind") == f"name-{g}")
+    gender = F.when(told("m") & ~told("f"), "name-m").when(told("f") & ~told("m"), "name-f").otherwise("name-n")
+    return (
+        found.groupBy(family().alias("family"), "name")
+        .agg(gender.alias("gender"))
+        .select(F.when(F.col("family") == "name", F.col("gender")).otherwise(F.col("family")).alias("kind"), "name")
+    )
+
+
 def assigned(inventory: DataFrame, key: bytes = KEY) -> DataFrame:
     """(kind, name, drawn) of every entity of a table of distinct ones."""
 
@@ -271,22 +303,24 @@ def assigned(inventory: DataFrame, key: bytes = KEY) -> DataFrame:
 
         return run
 
+    # Numbers are compared without notation and across their kinds, names across genders.
+    digits = F.col("kind").isin("phone", "card", "ssn")
+    group = F.when(digits, "digits").otherwise(family()).alias("group")
+    plain = lambda col: F.when(digits, F.regexp_replace(col, "\\D", "")).otherwise(F.col(col)).alias("value")
     done, waiting, turn = None, inventory, 0
     while True:
         drawn = saved(waiting.mapInArrow(drawer(turn), f"{FOUND_SQL}, drawn string"), "drawn")
         # By value: real entities and surrogates in use come before any proposal.
-        value = lambda df, col, first: df.select("kind", F.col(col).alias("value"), F.lit(first).alias("p"), "name")
+        value = lambda df, col, first: df.select(group, plain(col), F.lit(first).alias("p"), "kind", "name")
         claims = value(inventory, "name", 0).unionByName(value(drawn, "drawn", 1))
         if done is not None:
             claims = claims.unionByName(value(done, "drawn", 0))
-        holders = claims.groupBy("kind", "value").agg(F.min(F.struct("p", "name")).alias("holder"))
+        holders = claims.groupBy("group", "value").agg(F.min(F.struct("p", "kind", "name")).alias("holder"))
+        own = F.col("holder") == F.struct(F.lit(1).alias("p"), "kind", "name")
         judged = saved(
-            drawn.join(holders, (drawn["kind"] == holders["kind"]) & (drawn["drawn"] == holders["value"])).select(
-                drawn["kind"],
-                drawn["name"],
-                "drawn",
-                ((F.col("holder.p") == 1) & (F.col("holder.name") == drawn["name"])).alias("kept"),
-            ),
+            drawn.select("*", group, plain("drawn"))
+            .join(holders, ["group", "value"])
+            .select("kind", "name", "drawn", own.alias("kept")),
             "judged",
         )
         kept = judged.where("kept").drop("kept")
@@ -304,9 +338,11 @@ def replaced(docs: DataFrame, key: bytes = KEY) -> DataFrame:
     keyed = docs.withColumn("_row", F.xxhash64(F.col("text")))
     found = keyed.select(F.col("_row").alias("row"), "text").mapInArrow(_finder, f"row long, {FOUND_SQL}")
     found = saved(found.distinct(), "entities")
-    names = assigned(saved(found.select("kind", "name").distinct(), "inventory"), key)
+    names = assigned(saved(inventoried(found), "inventory"), key)
     by_row = (
-        found.join(names, ["kind", "name"])
+        found.select("row", family().alias("kind"), "name")
+        .distinct()
+        .join(names.select(family().alias("kind"), "name", "drawn"), ["kind", "name"])
         .groupBy(F.col("row").alias("_row"))
         .agg(F.collect_list(F.struct("kind", "name", "drawn")).alias("_names"))
     )
@@ -331,7 +367,7 @@ def _replacer(columns: list[str]):
                     drawn = {(e["kind"], e["name"]): e["drawn"] for e in names}
                     parts, at = [], 0
                     for s, e, kind, name in entities(text):
-                        parts += [text[at:s], rendered(kind, text[s:e], drawn[kind, name])]
+                        parts += [text[at:s], rendered(kind, text[s:e], drawn[kind.split("-")[0], name])]
                         at, n = e, n + 1
                     text = "".join([*parts, text[at:]])
                 texts.append(text)

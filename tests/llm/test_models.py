@@ -120,6 +120,30 @@ def test_names_of_many_parts_go_whole(documents):
         assert not {w for w in name.split() if len(w) > 3} & set(words)
 
 
+def test_one_surrogate_under_all_titles_and_notations(documents):
+    rows = [(1, "Dr Anna Weber and Frau Anna Weber"), (2, "Dr Kim Lee, Mr Kim Lee, Mrs Kim Lee")]
+    rows += [(3, "+49 30 1234567 or +49301234567 or +49 (0) 30 1234567 end")]
+    rows += [(4, "+1 (826) 555-4081 190.137.223.204"), (5, "+1 (826) 555-4081 190.137 x")]
+    got = {r["doc_id"]: r["text"] for r in surrogates.replaced(documents(*rows)).collect()}
+    one, other = (p.split(" ", 1)[1] for p in got[1].split(" and "))
+    assert one == other != "Anna Weber" and one[-1] == "a"
+    assert len({p.split(" ", 1)[1] for p in got[2].split(", ")}) == 1
+    assert len({p.replace("(0)", "").replace(" ", "") for p in got[3].removesuffix(" end").split(" or ")}) == 1
+    assert got[4][:17] == got[5][:17] != rows[4][1][:17] and got[5][17:] == " 190.137 x"
+    assert "190.137" not in got[4]
+
+
+def test_surrogates_of_all_kinds_of_names_and_numbers_stay_distinct(spark):
+    """One-part names of two letters and numbers of one format under two kinds: most draws are contested."""
+    names = [(f"name-{g}", a + b) for g, a in (("m", "b"), ("f", "d"), ("n", "f")) for b in "aeioulmnrst"]
+    numbers = [(k, f"{p}{i:07d}") for k, p in (("phone", "1+"), ("phone", "1"), ("ssn", "2")) for i in range(40)]
+    rows = spark.createDataFrame(names + numbers, "kind string, name string")
+    got = surrogates.assigned(rows).collect()
+    drawn = [r["drawn"].replace("+", "") for r in got]
+    assert len(set(drawn)) == len(drawn) == len(names) + len(numbers)
+    assert not set(drawn) & {n.replace("+", "") for _, n in names + numbers}
+
+
 def test_small_formats_stay_distinct(spark):
     """All 90 addresses of a format cannot stay in it: the others get longer ones."""
     names = [f"{i}.{j}.0.0" for i in range(9) for j in range(10)]
