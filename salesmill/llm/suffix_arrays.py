@@ -172,7 +172,9 @@ def sorted_suffixes(key: np.ndarray) -> np.ndarray:
     open_ = np.flatnonzero(~(fresh & np.append(fresh[1:], True)))
     while len(open_):
         suffix = order[open_]
-        pair = rank[suffix] * (n + 1) + rank[np.minimum(suffix + have, n)]
+        # Suffixes that end here are equal but for their length, and come before those that go on.
+        after = np.where(suffix + have < n, rank[np.minimum(suffix + have, n)] + n, n - suffix)
+        pair = rank[suffix] * (2 * n + 2) + after
         turn = np.argsort(pair)
         suffix, pair = suffix[turn], pair[turn]
         order[open_] = suffix

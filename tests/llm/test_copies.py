@@ -139,3 +139,9 @@ def test_suffixes_and_prefixes():
         a, b = raw[order[i - 1] :], raw[order[i] :]
         n = next((j for j, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
         assert shared[i] == min(n, 40)
+
+
+@pytest.mark.parametrize("raw", [b"\0" * 400, b"ab\0\0" * 3 + b"\0" * 400, b"a\0\0b\0\0", b"x\0" * 30 + b"\0" * 9])
+def test_suffixes_of_texts_that_end_in_nul(raw):
+    key = suffix_arrays.words_at(np.frombuffer(raw, np.uint8))
+    assert suffix_arrays.sorted_suffixes(key).tolist() == sorted(range(len(raw)), key=lambda i: raw[i:])
