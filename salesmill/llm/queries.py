@@ -10,6 +10,7 @@ from salesmill.llm.packing import op4_best_fit_packing
 from salesmill.llm.sentence_pieces import op10_sentencepiece
 from salesmill.llm.suffix_arrays import op7_repeated_passages
 from salesmill.llm.surrogates import op3_surrogates
+from salesmill.llm.token_alignment import op13_token_alignment
 from salesmill.llm.token_codes import op1_token_codes
 from salesmill.llm.toxicity import op5_toxicity
 
@@ -26,6 +27,7 @@ QUERIES = {
         op8_language,
         op9_exact_top_k,
         op10_sentencepiece,
+        op13_token_alignment,
     )
 }
 
