@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from salesmill.llm.ball_tree import op9_exact_top_k
+from salesmill.llm.hard_negatives import op12_hard_negatives
 from salesmill.llm.language import op8_language
 from salesmill.llm.near_copies import op6_near_copies
 from salesmill.llm.nearest import op2_nearest
@@ -27,6 +28,7 @@ QUERIES = {
         op8_language,
         op9_exact_top_k,
         op10_sentencepiece,
+        op12_hard_negatives,
         op13_token_alignment,
     )
 }
@@ -49,4 +51,30 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
-ORACLES: dict[str, str] = {"op9_exact_top_k": EXACT_TOP_K}
+# Anchors against all other rows, then each positive's window of the rows of other labels.
+HARD_NEGATIVES = """
+WITH v AS (
+  SELECT row_number() OVER () AS row_no, vec_id,
+         CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.row_no, a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+         CAST(list_sum(list_transform(list_zip(a.w, c.w), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.row_no <> c.row_no AND len(a.w) = len(c.w)
+  WHERE a.vec_id % 50 = 0
+), p AS (
+  SELECT row_no, vec_id AS positive_id, score AS positive_score,
+         row_number() OVER (PARTITION BY row_no ORDER BY score DESC, vec_id) AS place
+  FROM s WHERE same QUALIFY place <= 5
+)
+SELECT s.anchor_id, p.positive_id, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score,
+       CAST(row_number() OVER (PARTITION BY s.row_no, p.place ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+FROM p JOIN s ON s.row_no = p.row_no AND NOT s.same
+  AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+QUALIFY rank <= 3
+"""
+
+ORACLES: dict[str, str] = {"op9_exact_top_k": EXACT_TOP_K, "op12_hard_negatives": HARD_NEGATIVES}
