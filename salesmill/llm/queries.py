@@ -8,6 +8,7 @@ from salesmill.llm.language import op8_language
 from salesmill.llm.near_copies import op6_near_copies
 from salesmill.llm.nearest import op2_nearest
 from salesmill.llm.packing import op4_best_fit_packing
+from salesmill.llm.quality import op11_quality
 from salesmill.llm.sentence_pieces import op10_sentencepiece
 from salesmill.llm.suffix_arrays import op7_repeated_passages
 from salesmill.llm.surrogates import op3_surrogates
@@ -28,6 +29,7 @@ QUERIES = {
         op8_language,
         op9_exact_top_k,
         op10_sentencepiece,
+        op11_quality,
         op12_hard_negatives,
         op13_token_alignment,
     )
