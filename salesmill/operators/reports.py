@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesmill.schema import SUMMARY_KEYS, Report
+from salesmill.schema import INDUSTRY_KEYS, SUMMARY_KEYS, Report
+from salesmill.session import scratch_path
 
 CUBE_KEYS = ["product_line", "city", "payment"]
 
@@ -132,10 +133,10 @@ def company_sums(
 def industry_sums(summary: DataFrame, reports: Sequence[Report]) -> DataFrame:
     """Sums and counts of the whole industry for its reports.
 
-    Companies are added up first, so that only the few rows left are repeated
-    per grouping.
+    ``summary`` needs no column but the keys and sums of the industry. Companies are
+    added up first, so that only the few rows left are repeated per grouping.
     """
-    keys = [k for k in SUMMARY_KEYS if k not in ("company_name", "branch_code")]
+    keys = INDUSTRY_KEYS
     whole = summary.groupBy(*keys).agg(
         _sum(summary, "total_sales", F.col("total_sales")).alias("total_sales"),
         F.sum("n_sales").alias("n_sales"),
@@ -175,3 +176,32 @@ def report_order(report: Report) -> list[Column]:
 
 def in_report_order(rows: DataFrame, report: Report) -> DataFrame:
     return rows.orderBy(*report_order(report))
+
+
+def report_places(rows: DataFrame, report: Report) -> DataFrame:
+    """The rows with their ``place`` in the report, counted from 1.
+
+    Rows are dealt by ranges of the report's order and sorted within them; a place is
+    the number within its range plus the rows of all ranges before, of which there is one
+    count per range. So no task sees more than its range. The sorted rows are written
+    to the scratch space first: ranges are drawn from a sample, and a second look must
+    find the same ones.
+    """
+    spark = rows.sparkSession
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = report_order(report)
+    dealt = rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    # Its upper bits are the number of the range, its lower 33 bits that of the row.
+    numbered = dealt.withColumn("_at", F.monotonically_increasing_id())
+    path = scratch_path(spark, "places")
+    numbered.write.parquet(path)
+    stored = spark.read.schema(numbered.schema).parquet(path)
+    part = F.shiftright("_at", 33)
+    before, offsets = 0, []
+    for at, n in sorted(stored.groupBy(part.alias("at")).count().collect()):
+        offsets.append((at, before))
+        before += n
+    known = F.broadcast(spark.createDataFrame(offsets, "_range long, _before long"))
+    within = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    placed = stored.join(known, part == F.col("_range"))
+    return placed.select(*rows.columns, (F.col("_before") + within + 1).alias("place"))

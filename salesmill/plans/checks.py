@@ -6,7 +6,7 @@ paths and events are derived from whole tables.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmill.functions import company_of, json_find_first, segment
@@ -15,18 +15,37 @@ from salesmill.operators import alerts as al
 from salesmill.operators import dedup, reports
 from salesmill.operators.staging import REASON, split_rejects, validate_staged
 from salesmill.operators.typing import type_sales
-from salesmill.plans.standin import STANDIN_WIDTHS, sales_view, staged_text, write_drop_files
+from salesmill.plans.standin import (
+    STANDIN_WIDTHS,
+    sales_view,
+    staged_text,
+    write_contested_files,
+    write_drop_files,
+)
 from salesmill.schema import (
     HISTORY_SCHEMA,
     NUMBER_FORMATS,
+    INVOICE_KEY,
     REPORTS,
+    Report,
     SALES_COLUMNS,
     STAGED_COLUMNS,
+    SUMMARY_KEYS,
 )
 from salesmill.session import scratch_path
+from salesmill.sinks.alert_table import alert_table
 from salesmill.sinks.report_files import write_report_csv, write_report_pipe
 from salesmill.sources.drop_files import read_drop
-from salesmill.sources.sales_table import append_sales, append_summary, sales_table
+from salesmill.sources.sales_table import (
+    append_filter,
+    append_sales,
+    append_summary,
+    merge_history,
+    sales_table,
+    stored_filters,
+)
+from salesmill.sources.totals import fold_totals, running_totals
+from salesmill.streaming.event_log import run_alerts
 from salesmill.streaming.ingest import Layout, refresh_reports, run_ingest
 
 COMPANY = "BUILDING"
@@ -45,8 +64,18 @@ def in_order(spark: SparkSession, sf: str) -> DataFrame:
     """The rows of one report with their place in it; there is one per group."""
     report = next(r for r in REPORTS if r.industry and r.keys == ("product_line", "city"))
     rows = reports.industry_by(sales_view(spark, sf), COMPANY, report.keys)
-    place = F.row_number().over(Window.orderBy(*reports.report_order(report)))
-    return rows.select(*report.keys, place.alias("place"))
+    return _placed(rows, report)
+
+
+def in_company_order(spark: SparkSession, sf: str) -> DataFrame:
+    report = next(r for r in REPORTS if r.keys == ("product_line", "branch_code"))
+    rows = reports.company_by(sales_view(spark, sf), COMPANY, report.keys)
+    return _placed(rows, report)
+
+
+def _placed(rows: DataFrame, report: Report) -> DataFrame:
+    placed = reports.report_places(rows, report)
+    return placed.select(*report.keys, F.col("place").cast("int").alias("place"))
 
 
 def for_company(spark: SparkSession, sf: str) -> DataFrame:
@@ -204,13 +233,68 @@ def dropped(spark: SparkSession, sf: str) -> DataFrame:
     return read_drop(spark, drop).select("company_name", "field_count", *STAGED_COLUMNS)
 
 
+def merged(spark: SparkSession, sf: str) -> DataFrame:
+    """A load for each month, the folders of each company's loads then merged into one."""
+    table = scratch_path(spark, "merge")
+    sales = _history_types(sales_view(spark, sf)).withColumn("month", F.month("sales_date")).persist()
+    for month in range(1, 13):
+        append_sales(sales.filter(F.col("month") == month), table, f"load-{month}")
+    sales.unpersist()
+    companies = [r.c_mktsegment for r in _companies(spark, sf).collect()]
+    merge_history(spark, table, companies, lambda _: True, at_least=2)
+    return sales_table(spark, table)
+
+
+def totalled(spark: SparkSession, sf: str) -> DataFrame:
+    """Running totals over a load for each month, some of them folded, one repeated."""
+    summary, state = scratch_path(spark, "summary"), scratch_path(spark, "totals")
+    sales = sales_view(spark, sf).withColumn("month", F.month("sales_date"))
+    by_month = sales.groupBy("month", *SUMMARY_KEYS).agg(
+        F.sum("total").cast("decimal(22,5)").alias("total_sales"), F.count("total").alias("n_sales")
+    )
+    by_month = by_month.persist()
+    for month in [*range(1, 11), 3, 11, 12]:
+        part = by_month.filter(F.col("month") == month).drop("month")
+        append_summary(part, summary, f"load-{month:02d}")
+        fold_totals(spark, summary, state, lambda _: True, at_least=5)
+    by_month.unpersist()
+    sums, _ = running_totals(spark, summary, state)
+    total = F.sum("total_sales").cast("decimal(22,5)").alias("total_sales")
+    return sums.groupBy(*SUMMARY_KEYS).agg(total, F.sum("n_sales").alias("n_sales"))
+
+
+def large_load(spark: SparkSession, sf: str) -> DataFrame:
+    """Everything beside the history of its small sales, by the way of a load that is too large to send.
+
+    Months stand for files, as in ``first_file_wins``; nothing is sent to all tasks.
+    """
+    hist, filters = scratch_path(spark, "history"), scratch_path(spark, "filters")
+    sales = _history_types(sales_view(spark, sf)).persist()
+    old = sales.filter(EARLIER)
+    counts = old.groupBy("company_name").agg(F.lit(0).cast("long").alias("n_rows"))
+    append_filter(old.select(*INVOICE_KEY).distinct(), counts, filters, "load-1", first=True)
+    append_sales(old, hist, "load-1")
+    companies = [r.c_mktsegment for r in _companies(spark, sf).collect()]
+    stored = stored_filters(spark, filters, companies)
+    staged = sales.withColumn("claim", F.month("sales_date"))
+    arrivals = dedup.invoice_arrivals(staged, ["claim"]).persist()
+    earlier = sales_table(spark, hist, companies)
+    fresh = dedup.fresh_sales(staged, arrivals, earlier, ["claim"], stored, broadcast_bytes=0)
+    return fresh.select("company_name", "invoice_id", "quantity", "total")
+
+
 def ingested(spark: SparkSession, sf: str) -> DataFrame:
-    """History from one round of drop files, then a round with everything."""
+    """History from one round of drop files, then a round with everything.
+
+    The files of the second round name every invoice in two of them, with different
+    quantities, and hold a file per company that is rejected for one bad row.
+    """
     layout = Layout.under(scratch_path(spark, "ingest"))
     staged = staged_text(sales_view(spark, sf))
-    for n, part in enumerate([staged.filter("CAST(quantity AS INT) < 10"), staged]):
-        write_drop_files(part, layout.drop, f"{layout.drop}-stage-{n}")
-        run_ingest(spark, layout, widths=STANDIN_WIDTHS)
+    write_drop_files(staged.filter("CAST(quantity AS INT) < 10"), layout.drop, f"{layout.drop}-stage-0")
+    run_ingest(spark, layout, widths=STANDIN_WIDTHS)
+    write_contested_files(staged, layout.drop, f"{layout.drop}-stage-1")
+    run_ingest(spark, layout, widths=STANDIN_WIDTHS)
     return sales_table(spark, layout.history).drop("batch_id")
 
 
@@ -242,7 +326,7 @@ def refreshed(spark: SparkSession, sf: str) -> DataFrame:
     for n, part in enumerate([sales.filter(EARLIER), sales.filter(f"NOT ({EARLIER})")]):
         append_summary(reports.sales_summary(part), summary, f"load-{n}")
     companies = [r.c_mktsegment for r in _companies(spark, sf).collect()]
-    refresh_reports(spark, summary, companies, out)
+    refresh_reports(spark, summary, companies, out, scratch_path(spark, "totals"))
     return _report_lines(spark, out)
 
 
@@ -370,6 +454,17 @@ def alert_rows(spark: SparkSession, sf: str) -> DataFrame:
     return alerts.withColumn("arn", event_id).drop("raw_event")
 
 
+def logged_alerts(spark: SparkSession, sf: str) -> DataFrame:
+    """The alert table after the event log was read as a stream, in several files and rounds."""
+    layout = Layout.under(scratch_path(spark, "alerts"))
+    events = _failures(spark, sf).select(F.col("event").alias("value"))
+    events.repartition(6, "value").write.text(layout.events)
+    run_alerts(spark, layout, max_files=4)
+    alerts = alert_table(spark, layout.alerts)
+    arn = F.get_json_object("raw_event", "$.requestContext.functionArn")
+    return alerts.withColumn("arn", arn).drop("raw_event", "batch_id")
+
+
 def alert_messages(spark: SparkSession, sf: str) -> DataFrame:
     """Messages over order lines; the event is a small JSON text."""
     order = F.col("o_orderkey")
@@ -400,6 +495,7 @@ QUERIES = {
     "industry_cube": industry_cube,
     "sales_summary": sales_summary,
     "report_order": in_order,
+    "company_report_order": in_company_order,
     "for_company": for_company,
     "type_sales": typed,
     "parse_number": numbers,
@@ -410,7 +506,10 @@ QUERIES = {
     "not_in_history": unknown,
     "not_in_strict": unknown_strict,
     "first_file_wins": first_files,
+    "large_load_not_in_history": large_load,
     "append_sales": appended,
+    "merged_history": merged,
+    "running_totals": totalled,
     "sales_table": scanned,
     "read_drop": dropped,
     "ingest_stream": ingested,
@@ -424,5 +523,6 @@ QUERIES = {
     "parse_fanout": fanout,
     "json_find_first": found_first,
     "failure_alerts": alert_rows,
+    "alert_table": logged_alerts,
     "alert_text": alert_messages,
 }

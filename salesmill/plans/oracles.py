@@ -158,6 +158,18 @@ INGESTED = over_sales(
     f"SELECT {AS_TYPED} FROM sales WHERE {EARLIER}"
     f" UNION ALL SELECT {AS_TYPED} FROM sales s WHERE NOT {IN_HISTORY}"
 )
+FIRST_FILE = f"""SELECT company_name, invoice_id, quantity, total FROM (
+  SELECT *, month(sales_date) AS file_no, min(month(sales_date)) OVER
+  (PARTITION BY company_name, invoice_id) AS first_no FROM sales s WHERE NOT {IN_HISTORY})
+  WHERE file_no = first_no"""
+ALERTS = """SELECT event_type AS job,
+        CASE WHEN event_id % 3 < 2 THEN {shop} END AS company,
+        CASE WHEN event_id % 3 < 2 THEN 's3://sales/' || {key} END AS file,
+        CASE WHEN event_id % 5 <> 0 THEN 'ValueError' END AS error_type,
+        'bad value ' || CAST(value AS VARCHAR) AS error_message,
+        CASE WHEN event_id % 7 <> 0 THEN 'line 1' || chr(10) || 'line '
+          || CAST(user_id AS VARCHAR) END AS stack_trace,
+        {arn} AS arn FROM events"""
 
 ARN = "'arn:aws:lambda:zone:acct:function:' || event_type || ':$LATEST'"
 SHOP = "'shop +' || CAST(user_id AS VARCHAR)"
@@ -189,6 +201,11 @@ ORACLES = {
         ORDER BY SUM(total) DESC NULLS FIRST, product_line NULLS LAST, city NULLS LAST) AS INT)
         AS place FROM sales GROUP BY product_line, city"""
     ),
+    "company_report_order": over_sales(
+        f"""SELECT product_line, branch_code, CAST(row_number() OVER (
+        ORDER BY SUM(total) DESC NULLS FIRST, product_line NULLS LAST, branch_code NULLS LAST) AS INT)
+        AS place FROM sales WHERE company_name = '{COMPANY}' GROUP BY product_line, branch_code"""
+    ),
     "for_company": over_sales(f"SELECT * FROM sales WHERE company_name = '{COMPANY}'"),
     "type_sales": over_sales(f"SELECT {AS_TYPED} FROM sales"),
     "parse_number": f"""SELECT l_orderkey, l_linenumber, {_number(2)} AS two_decimals,
@@ -231,6 +248,15 @@ ORACLES = {
         (PARTITION BY company_name, invoice_id) AS first_no FROM sales)
         WHERE file_no = first_no"""
     ),
+    "large_load_not_in_history": over_sales(FIRST_FILE.replace("total FROM (", "CAST(total AS DECIMAL(12,5)) AS total FROM (")),
+    "merged_history": over_sales(
+        f"SELECT {AS_TYPED}, 'load-' || CAST(month(sales_date) AS VARCHAR) AS batch_id FROM sales"
+    ),
+    "running_totals": over_sales(
+        """SELECT company_name, branch_code, city, product_line, payment,
+        CAST(SUM(total) AS DECIMAL(22,5)) AS total_sales, CAST(COUNT(total) AS BIGINT) AS n_sales
+        FROM sales GROUP BY ALL"""
+    ),
     "append_sales": over_sales(
         f"SELECT {AS_TYPED}, 'load-1' AS batch_id FROM sales WHERE {EARLIER}"
         f" UNION ALL SELECT {AS_TYPED}, 'load-2' AS batch_id FROM sales s WHERE NOT {IN_HISTORY}"
@@ -251,14 +277,8 @@ ORACLES = {
         AS company_name FROM events""",
     "json_find_first": """SELECT event_id, CASE WHEN event_id % 2 = 0 THEN CAST(user_id AS VARCHAR)
         WHEN event_id % 3 <> 0 THEN event_type END AS mark FROM events""",
-    "failure_alerts": f"""SELECT event_type AS job,
-        CASE WHEN event_id % 3 < 2 THEN {SHOP} END AS company,
-        CASE WHEN event_id % 3 < 2 THEN 's3://sales/' || {KEY} END AS file,
-        CASE WHEN event_id % 5 <> 0 THEN 'ValueError' END AS error_type,
-        'bad value ' || CAST(value AS VARCHAR) AS error_message,
-        CASE WHEN event_id % 7 <> 0 THEN 'line 1' || chr(10) || 'line '
-          || CAST(user_id AS VARCHAR) END AS stack_trace,
-        {ARN} AS arn FROM events""",
+    "failure_alerts": ALERTS.format(shop=SHOP, key=KEY, arn=ARN),
+    "alert_table": ALERTS.format(shop=SHOP, key=KEY, arn=ARN),
     "alert_text": f"""SELECT o_orderkey, concat_ws(chr(10),
         'There was an error while executing Pipeline.', '', 'Lambda: ' || o_orderpriority,
         CASE WHEN o_orderkey % 3 <> 0 THEN 'Company: ' || CAST(o_custkey AS VARCHAR) END,

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmill.sources.files import list_files, move_files
+from salesmill.sources.files import list_files, move_files, qualified
 
 # Stand-in texts are wider than those of real drop files.
 STANDIN_WIDTHS = {
@@ -88,17 +89,49 @@ def write_drop_files(staged: DataFrame, drop: str, stage: str) -> None:
     All rows of an invoice go to one file, so results do not hang on the order in
     which files arrive.
     """
+    _write_csv(staged.repartition("company_name", "invoice_id"), ["company_name"], stage)
+    moves = []
+    for location, (company,) in _written(staged.sparkSession, stage):
+        moves.append((location, f"{drop}/{company}/{location.rsplit('/', 1)[1]}"))
+    move_files(staged.sparkSession, moves)
+
+
+def write_contested_files(staged: DataFrame, drop: str, stage: str) -> None:
+    """Write text rows as three drop files per company, with the rows of one invoice in several.
+
+    By order of arrival: ``first`` has the even order lines; ``bad`` has the odd ones and
+    one that cannot be read in each company, so it is rejected whole; ``last`` has all
+    lines, with a larger quantity where ``first`` has them, too.
+    """
     spark = staged.sparkSession
-    (
-        staged.repartition("company_name", "invoice_id")
-        .write.partitionBy("company_name")
-        .options(header=True, quote="", emptyValue="")
-        .csv(stage)
+    line = F.substring_index("invoice_id", "-", -1).cast("int")
+    even = line % 2 == 0
+    first = staged.filter(even).withColumn("part", F.lit(0))
+    bad = staged.filter(~even).withColumn("part", F.lit(1))
+    worst = bad.filter(line == 1).groupBy("company_name").agg(F.min("invoice_id").alias("worst"))
+    bad = bad.join(F.broadcast(worst), "company_name").withColumn(
+        "quantity", F.when(F.col("invoice_id") == F.col("worst"), "many").otherwise(F.col("quantity"))
     )
+    more = (F.col("quantity").cast("int") + 100).cast("string")
+    last = staged.withColumn("quantity", F.when(even, more).otherwise(F.col("quantity"))).withColumn("part", F.lit(2))
+    every = first.unionByName(bad.drop("worst")).unionByName(last)
+    # A file per company and part, as a rejected file is rejected whole.
+    _write_csv(every.repartition("company_name", "part"), ["company_name", "part"], stage)
     moves = []
+    for location, (company, part) in _written(spark, stage):
+        name = location.rsplit("/", 1)[1]
+        moves.append((location, f"{drop}/{company}/{part}-{name}", 1_000_000 * (1 + int(part))))
+    move_files(spark, moves)
+
+
+def _write_csv(rows: DataFrame, partitions: list[str], stage: str) -> None:
+    rows.write.partitionBy(*partitions).options(header=True, quote="", emptyValue="").csv(stage)
+
+
+def _written(spark: SparkSession, stage: str) -> Iterator[tuple[str, list[str]]]:
+    """Files below a folder and the values of the partitions they lie in."""
+    base = qualified(spark, stage)
     for _, location in list_files(spark, stage):
-        folder, name = location.rsplit("/", 2)[1:]
+        *folders, name = location[len(base) + 1 :].split("/")
         if name.endswith(".csv"):
-            company = unquote(folder.removeprefix("company_name="))
-            moves.append((location, f"{drop}/{company}/{name}"))
-    move_files(spark, moves)
+            yield location, [unquote(f.split("=", 1)[1]) for f in folders]

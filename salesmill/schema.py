@@ -81,6 +81,9 @@ INVOICE_KEY = ["company_name", "invoice_id"]
 # Finest grouping that every report can be rolled up from.
 SUMMARY_KEYS = ["company_name", "branch_code", "city", "product_line", "payment"]
 
+# Of these, what reports of the whole industry are grouped by.
+INDUSTRY_KEYS = [k for k in SUMMARY_KEYS if k not in ("company_name", "branch_code")]
+
 INDUSTRY_MEASURES = [
     "company_tot_sales",
     "total_industry_sales",

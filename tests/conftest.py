@@ -53,3 +53,27 @@ def drop(layout, company, name, *lines, header="any header"):
 def rows(df, *columns):
     """Rows as sorted tuples."""
     return sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
+
+
+def shuffled_rows(df):
+    """Columns and rows written of each shuffle of a frame, which is run."""
+    df.collect()
+    found = []
+
+    def walk(node):
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if name == "ShuffleExchangeExec":
+            written = node.metrics().apply("shuffleRecordsWritten").value()
+            found.append((node.output().size(), written))
+        if name in ("ShuffleQueryStageExec", "BroadcastQueryStageExec", "ResultQueryStageExec"):
+            return walk(node.plan())
+        if name == "InputAdapter" or name == "WholeStageCodegenExec":
+            return walk(node.child())
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return found

@@ -9,7 +9,7 @@ from conftest import drop, line, rows
 from salesmill import read_drop, run_ingest, sales_table
 from salesmill.schema import REPORTS
 from salesmill.sources.files import move_files
-from salesmill.sources.sales_table import summary_table
+from salesmill.sources.totals import running_totals
 from salesmill.streaming import ingest
 
 
@@ -48,8 +48,8 @@ def test_load_dedup_reports_and_archive(spark, layout):
     run_ingest(spark, layout)
     run_ingest(spark, layout)
     assert history(spark, layout) == [*first, ("g a+b", "3", 7)]
-    total = summary_table(spark, layout.summary).groupBy().sum("n_sales").first()[0]
-    assert total == 5
+    sums, industry = running_totals(spark, layout.summary, layout.totals)
+    assert [t.groupBy().sum("n_sales").first()[0] for t in (sums, industry)] == [5, 5]
 
     # A file without sales renews the reports of its company.
     report = pathlib.Path(layout.reports, "007", "Avg_Industry_Sales.csv_000")
@@ -92,7 +92,7 @@ def test_arrival_decides_and_loads_may_be_cut(spark, layout):
 def waiting(spark, layout):
     drop(layout, "a", "1.csv", line(invoice_id="1"), line(invoice_id="1"), line(invoice_id="2"))
     drop(layout, "b", "_1.csv", line(invoice_id="1"))
-    ingest.claim_drops(spark, layout.drop, layout.claimed)
+    ingest.claim_drops(spark, layout)
     batch = read_drop(spark, layout.claimed, level=1)
     return batch.withColumn("company_name", batch.company_name.substr(4, 100))
 
@@ -153,6 +153,89 @@ def test_a_failed_job_leaves_an_alert(spark, layout, monkeypatch, step, job):
             run_ingest(spark, layout)
     (alert,) = spark.read.parquet(layout.alerts).collect()
     assert (alert["job"], alert["error_type"], alert["error_message"]) == (job, "ValueError", f"no {step}")
+    assert (alert["company"], alert["file"]) == ("acme", "acme/1.csv")
     assert "Traceback" in alert["stack_trace"]
     run_ingest(spark, layout)
     assert history(spark, layout) == [("acme", "1", 7)]
+
+
+@pytest.mark.parametrize(
+    "step,job,company",
+    [("claim_drops", "claim", None), ("_archive_empty", "archive", None), ("refresh_reports", "reports", "none")],
+)
+def test_a_step_outside_a_load_leaves_an_alert(spark, layout, monkeypatch, step, job, company):
+    """Half a surrogate pair in the message does not hinder the alert."""
+    drop(layout, "none", "empty.csv")
+
+    def fail(*_):
+        raise ValueError("bad \ud800 text")
+
+    with monkeypatch.context() as m:
+        m.setattr(ingest, step, fail)
+        with pytest.raises(ValueError):
+            run_ingest(spark, layout)
+    (alert,) = spark.read.parquet(layout.alerts).collect()
+    assert (alert["job"], alert["company"], alert["file"]) == (job, company, None)
+    assert (alert["error_type"], alert["error_message"]) == ("ValueError", "bad ? text")
+    run_ingest(spark, layout)
+    assert files(layout.claimed) == [] and os.listdir(layout.claimed) == []
+
+
+def test_claims_are_bounded_and_leave_nothing(spark, layout, monkeypatch):
+    """Seven files, two a round, oldest first; numbers go on after the counter."""
+    for n in range(7):
+        drop(layout, "a", f"{n}.csv", line(invoice_id="1" if n % 2 else str(n), quantity=str(n)))
+        os.utime(pathlib.Path(layout.drop, f"a/{n}.csv"), (1000 - n, 1000 - n))
+    rounds = []
+    claim = ingest.claim_drops
+    monkeypatch.setattr(ingest, "claim_drops", lambda *a: rounds.append(claim(*a)) or rounds[-1])
+    run_ingest(spark, layout, reports=False, claim_files=2)
+    assert rounds == [2, 2, 2, 1, 0]
+    # The files came in falling order, so the highest odd one was the first to name invoice 1.
+    assert history(spark, layout) == [("a", "0", 0), ("a", "1", 5), ("a", "2", 2), ("a", "4", 4), ("a", "6", 6)]
+    assert os.listdir(layout.claimed) == [] and len(files(layout.archive)) == 7
+    counter = int(pathlib.Path(layout.counter).read_text())
+    drop(layout, "a", "next.csv", line(invoice_id="9"))
+    assert ingest.claim_drops(spark, layout) == 1
+    assert os.listdir(layout.claimed) == [f"{counter:015d}"]
+
+
+def test_claims_of_a_crashed_run_are_loaded_first(spark, layout, monkeypatch):
+    drop(layout, "a", "1.csv", line(invoice_id="1"))
+    drop(layout, "a", "empty.csv")
+    ingest.claim_drops(spark, layout)
+    pathlib.Path(layout.claimed, "000000000000007", "in-a").mkdir(parents=True)
+    drop(layout, "a", "2.csv", line(invoice_id="1", quantity="9"), line(invoice_id="2"))
+    run_ingest(spark, layout, claim_files=1)
+    assert history(spark, layout) == [("a", "1", 7), ("a", "2", 7)]
+    assert os.listdir(layout.claimed) == [] and len(files(layout.archive)) == 3
+
+
+def test_many_loads_of_one_company(spark, layout):
+    """Folders stay few, totals and filters follow, and every invoice is still known."""
+    limits = {"at_least": 4, "below": 1 << 30}
+    for n in range(9):
+        drop(layout, "a", "1.csv", line(invoice_id=str(n)), line(invoice_id=str(n + 1)))
+        run_ingest(spark, layout, reports=n == 8, merge=limits)
+    expected = sorted([("a", str(n), 7) for n in range(10)])
+    assert history(spark, layout) == expected
+    loads = os.listdir(pathlib.Path(layout.history, "company_name=a"))
+    assert len([f for f in loads if f.startswith("batch_id=")]) < 5
+    filters = os.listdir(pathlib.Path(layout.filters, "company_name=a"))
+    assert len([f for f in filters if f.startswith("batch_id=")]) < 5
+    assert sales_table(spark, layout.history).select("batch_id").distinct().count() == 9
+    sums, _ = running_totals(spark, layout.summary, layout.totals)
+    assert sums.groupBy().sum("n_sales").first()[0] == 10
+
+
+def test_large_loads_ask_the_filters(spark, layout, monkeypatch):
+    """No load is small here, so each asks the filters before the history."""
+    from salesmill.operators import sizes
+
+    monkeypatch.setattr(sizes, "BROADCAST_BYTES", -1)
+    for n in range(3):
+        drop(layout, "a", "1.csv", *(line(invoice_id=str(i)) for i in range(n * 20, n * 20 + 40)))
+        drop(layout, "b", "1.csv", *(line(invoice_id=str(i)) for i in range(5)))
+        run_ingest(spark, layout, reports=False)
+    found = [("a", str(i), 7) for i in range(80)] + [("b", str(i), 7) for i in range(5)]
+    assert history(spark, layout) == sorted(found, key=repr)

@@ -12,6 +12,7 @@ from salesmill.operators.reports import (
     industry_by,
     industry_cube,
     industry_total,
+    report_places,
     sales_summary,
 )
 from salesmill.schema import REPORTS, Report
@@ -120,7 +121,7 @@ def test_all_files_of_all_companies(spark, sales, tmp_path):
     summary = str(tmp_path / "summary")
     append_summary(sales_summary(sales.filter("payment = 'Cash'")), summary, "1")
     append_summary(sales_summary(sales.filter("payment != 'Cash'")), summary, "2")
-    refresh_reports(spark, summary, companies, many)
+    refresh_reports(spark, summary, companies, many, str(tmp_path / "totals"))
     for company in companies:
         for report in REPORTS:
             if report.industry:
@@ -140,3 +141,16 @@ def test_company_names_are_values(spark, sales, tmp_path):
     assert company_by(sales, odd, ["payment"]).count() == 0
     write_reports(sales_summary(sales), [odd], str(tmp_path))
     assert len(list((tmp_path / odd).glob("[!.]*"))) == len(REPORTS)
+
+
+def test_places_over_many_ranges(spark):
+    """Every range numbers its own rows; no task sees them all."""
+    report = next(r for r in REPORTS if r.keys == ("product_line", "branch_code"))
+    data = [(f"p{n % 50}", f"b{n // 50}", None if n % 97 == 0 else Decimal(n % 13)) for n in range(1000)]
+    rows = spark.createDataFrame(data, "product_line string, branch_code string, total_sales decimal(22,5)")
+    placed = report_places(rows.repartition(7), report)
+    assert "SinglePartition" not in placed._jdf.queryExecution().executedPlan().toString()
+    got = {r["place"]: (r["product_line"], r["branch_code"], r["total_sales"]) for r in placed.collect()}
+    order = sorted(data, key=lambda r: (r[2] is not None, -(r[2] or 0), r[0], r[1]))
+    assert [got[n + 1] for n in range(1000)] == order
+    assert report_places(rows.limit(0), report).count() == 0

@@ -5,9 +5,10 @@ import pathlib
 from decimal import Decimal
 
 import pytest
-from conftest import LINE, drop, line, rows
+from conftest import LINE, drop, line, rows, shuffled_rows
 from pyspark.sql import functions as F
 
+from salesmill.operators import sizes
 from salesmill import read_drop, split_rejects, type_sales, validate_staged
 from salesmill.operators.staging import REASON
 from salesmill.schema import SALES_SCHEMA, STAGED_COLUMNS
@@ -75,10 +76,22 @@ def test_good_lines(spark, layout):
 
 
 @pytest.mark.parametrize("few_files", [True, False])
-def test_a_bad_row_rejects_its_file_only(spark, layout, few_files):
+def test_a_bad_row_rejects_its_file_only(spark, layout, monkeypatch, few_files):
+    if not few_files:
+        monkeypatch.setattr(sizes, "BROADCAST_BYTES", -1)
     drop(layout, "acme", "1.csv", line(invoice_id="1"), line(invoice_id="2", quantity="x"))
     drop(layout, "acme", "2.csv", line(invoice_id="3"), line(invoice_id="4"))
-    good, rejects = split_rejects(staged(spark, layout), few_files=few_files)
+    good, rejects = split_rejects(staged(spark, layout))
     assert rows(good, "invoice_id") == [("3",), ("4",)]
     assert rows(rejects, "invoice_id") == [("1",), ("2",)]
     assert rows(rejects.filter(F.col(REASON).isNotNull()), "invoice_id") == [("2",)]
+    assert good.columns == rejects.columns == staged(spark, layout).columns
+
+
+def test_rows_are_not_shuffled_to_meet_few_verdicts(spark, layout):
+    for n in range(5):
+        drop(layout, "acme", f"{n}.csv", *[line(quantity="x" if n == 3 else "1")] * 20)
+    good, rejects = split_rejects(staged(spark, layout))
+    assert good.count() == 80 and rejects.count() == 20
+    assert [width for width, _ in shuffled_rows(good) if width > 2] == []
+    assert [width for width, _ in shuffled_rows(rejects) if width > 2] == []

@@ -1,0 +1,277 @@
+"""Key filters, running totals and merged folders: what is stored beside the history."""
+
+import os
+import pathlib
+import random
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from salesmill.operators.key_filters import key_filter, level_for, probable_hits, united
+from salesmill.operators.reports import sales_summary
+from salesmill.schema import HISTORY_SCHEMA, SALES_COLUMNS, SALES_SCHEMA, SUMMARY_KEYS
+from salesmill.sources import merging, totals
+from salesmill.sources.sales_table import (
+    STORED_SCHEMA,
+    append_filter,
+    append_sales,
+    append_summary,
+    build_filters,
+    merge_filters,
+    merge_history,
+    sales_table,
+    stored_filters,
+)
+from salesmill.sources.totals import Loads, fold_totals, running_totals
+
+KEY = "company_name string, invoice_id string"
+
+
+def sale(company, invoice, total="1.00000", branch="A"):
+    from decimal import Decimal
+
+    values = {c: None for c in SALES_COLUMNS}
+    values |= {"company_name": company, "invoice_id": invoice, "total": Decimal(total), "branch_code": branch}
+    values |= {"city": "x", "product_line": "p", "payment": "cash"}
+    return tuple(values[c] for c in SALES_COLUMNS)
+
+
+def sales(spark, *found):
+    return spark.createDataFrame([sale(*f) for f in found], SALES_SCHEMA)
+
+
+# --- key filters -----------------------------------------------------------
+
+
+def filters_of(spark, loads):
+    """Filters of several loads, each made for the keys there were until then."""
+    found, so_far = None, {}
+    for keys in loads:
+        for company, _ in keys:
+            so_far[company] = so_far.get(company, 0) + 1
+        counts = spark.createDataFrame(sorted(so_far.items()), "company_name string, n long")
+        levels = counts.withColumn("level", level_for(F.col("n")))
+        one = key_filter(spark.createDataFrame(keys, KEY), levels)
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
+def test_filters_hold_every_key_and_few_others(spark):
+    draw = random.Random(1)
+    loads = [[(draw.choice("ab"), f"{n}-{draw.random()}") for n in range(size)] for size in (3, 300, 4000, 9000)]
+    filters = filters_of(spark, loads)
+    known = [k for keys in loads for k in keys]
+    new = [("a", f"new {n}") for n in range(20_000)] + [("c", known[0][1])]
+    asked = spark.createDataFrame(known + new, KEY).repartition(4)
+    for stored in (filters, united(filters)):
+        hits = {tuple(r) for r in probable_hits(asked, stored).collect()}
+        assert set(known) <= hits
+        assert len(hits - set(known)) < 0.01 * len(new)
+        assert ("c", known[0][1]) not in hits
+    assert united(filters).agg(F.sum("n_keys")).first()[0] == len(known)
+
+
+def test_levels_follow_the_rows(spark):
+    found = spark.createDataFrame([(n,) for n in (0, 1, 16, 17, 256, 257, 10**9)], "n long")
+    assert [r[0] for r in found.select(level_for(F.col("n"))).collect()] == [0, 0, 0, 1, 1, 2, 7]
+
+
+def test_stored_filters_replace_merge_and_miss(spark, tmp_path):
+    where, hist = str(tmp_path / "filters"), str(tmp_path / "history")
+    none = spark.createDataFrame([], "company_name string, n_rows long")
+    assert stored_filters(spark, where, ["a"]) is None
+    for n in range(4):
+        keys = spark.createDataFrame([("a", f"{n}-{i}") for i in range(50)] + [("b=%c", f"{n}")], KEY)
+        for _ in range(2):  # a load that runs twice has one filter
+            append_filter(keys, none, where, f"load-{n}", first=n == 0)
+    assert stored_filters(spark, where, ["a", "b=%c"]).agg(F.sum("n_keys")).first()[0] == 204
+    assert stored_filters(spark, where, ["a"], but="load-2").agg(F.sum("n_keys")).first()[0] == 150
+    assert merge_filters(spark, where, ["a", "b=%c"], lambda _: True, at_least=4)
+    merged = stored_filters(spark, where, ["a", "b=%c"])
+    assert merged.agg(F.sum("n_keys")).first()[0] == 204 and merged.select("batch_id").distinct().count() == 1
+    asked = spark.createDataFrame([("a", "3-49"), ("a", "nothing"), ("b=%c", "2")], KEY)
+    assert {("a", "3-49"), ("b=%c", "2")} <= {tuple(r) for r in probable_hits(asked, merged).collect()}
+    # A history that was begun without filters gets them at once.
+    append_sales(sales(spark, ("a", "1"), ("a", "2"), ("b", "1")), hist, "load-1")
+    build_filters(spark, hist, f"{where}-2")
+    built = stored_filters(spark, f"{where}-2", ["a", "b"])
+    known = spark.createDataFrame([("a", "1"), ("a", "2"), ("b", "1")], KEY)
+    assert probable_hits(known, built).count() == 3
+
+
+def test_a_large_load_shuffles_only_probable_hits_of_the_history(spark, monkeypatch):
+    from conftest import shuffled_rows
+
+    from salesmill.operators import sizes
+    from salesmill.operators.dedup import fresh_sales, invoice_arrivals
+
+    old = [("a", f"old {n}") for n in range(5000)]
+    new = [("a", f"new {n}", n) for n in range(3000)] + [("a", f"old {n}", n) for n in range(40)]
+    hist = spark.createDataFrame(old, KEY).repartition(4)
+    staged = spark.createDataFrame(new, f"{KEY}, claim long")
+    arrivals = invoice_arrivals(staged, ["claim"]).persist()
+    monkeypatch.setattr(sizes, "BROADCAST_BYTES", 20_000)  # too small for the load, enough for its hits
+    suspects = probable_hits(arrivals, filters_of(spark, [old]))
+    assert 40 <= suspects.count() < 80
+    found = fresh_sales(staged, arrivals, hist, ["claim"], filters_of(spark, [old]))
+    assert found.count() == 3000
+    # Neither the staged rows nor the history were shuffled again for the join.
+    assert [n for width, n in shuffled_rows(found) if width > 2] == []
+    arrivals.unpersist()
+
+
+# --- running totals --------------------------------------------------------
+
+
+def test_names_of_loads():
+    loads = Loads()
+    for name in ["q-000000001", "q-000000003", "q-000000002", "q-1", "plain", "q-000000002", "r-000000002"]:
+        loads.add(name)
+    assert loads.ranges == {"q-9": [[1, 3]], "q-1": [[1, 1]], "r-9": [[2, 2]]} and loads.names == ["plain"]
+    assert "q-000000002" in loads and "plain" in loads
+    assert "q-000000004" not in loads and "q-2" not in loads and "s-000000001" not in loads
+
+
+def added(frame):
+    return rows(frame.groupBy("company_name", "city").agg(F.sum("n_sales"), F.sum("total_sales")), *range(4))
+
+
+@pytest.fixture
+def stored(spark, tmp_path):
+    """Folders of summaries and totals, and a way to store a load's summary."""
+    summary, state = str(tmp_path / "summary"), str(tmp_path / "totals")
+
+    def load(name, *found):
+        append_summary(sales_summary(sales(spark, *found)), summary, name)
+
+    return summary, state, load
+
+
+def sums(spark, summary, state):
+    companies, industry = running_totals(spark, summary, state)
+    own = companies.groupBy("company_name").agg(F.sum("n_sales").alias("n"), F.sum("total_sales").alias("t"))
+    whole = industry.agg(F.sum("n_sales"), F.sum("total_sales")).first()
+    return {r[0]: (r[1], float(r[2])) for r in own.collect()}, (whole[0], float(whole[1] or 0))
+
+
+def test_totals_over_many_loads_stay_small(spark, stored):
+    summary, state, load = stored
+    for n in range(1, 31):
+        load(f"q-{n:09d}", ("a", "1", f"{n}"), ("b", "1", "1"))
+        fold_totals(spark, summary, state, lambda _: True, at_least=4)
+        version = totals.current(spark, state)
+        assert len(totals.unmerged(spark, summary, version)) < 4
+        assert len([f for f in os.listdir(summary) if f.startswith("batch_id=")]) < 4
+        assert len(list(pathlib.Path(state).glob("*.json"))) <= 2
+    assert sums(spark, summary, state) == ({"a": (30, 465.0), "b": (30, 30.0)}, (60, 495.0))
+    assert totals.current(spark, state).loads.ranges == {"q-9": [[1, 28]]}
+
+
+def test_a_replayed_load_adds_nothing(spark, stored):
+    summary, state, load = stored
+    for n in range(3):
+        load(f"load-{n}", ("a", "1", "2"))
+    assert fold_totals(spark, summary, state, lambda name: name != "load-2", at_least=2) == 1
+    expected = ({"a": (3, 6.0)}, (3, 6.0))
+    assert sums(spark, summary, state) == expected
+    load("load-1", ("a", "1", "2"))
+    assert sums(spark, summary, state) == expected
+    assert fold_totals(spark, summary, state, lambda _: True, at_least=1) == 2
+    assert sums(spark, summary, state) == expected
+    assert fold_totals(spark, summary, state, lambda _: True, at_least=1) is None
+
+
+@pytest.mark.parametrize("step", ["write_text", "_tidy"])
+def test_a_version_that_was_not_finished(spark, stored, monkeypatch, step):
+    """The first try dies with its tables written, or before what it holds is deleted."""
+    summary, state, load = stored
+    for n in range(3):
+        load(f"load-{n}", ("a", "1", "2"), (f"c{n}", "1", "1"))
+    expected = sums(spark, summary, state)
+
+    def lost(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        calls = []
+        work = getattr(totals, step)
+        # The tidying before a version is written passes, that after it does not.
+        late = lambda *a: lost() if step == "write_text" or calls else (calls.append(1), work(*a))
+        m.setattr(totals, step, late)
+        with pytest.raises(RuntimeError):
+            fold_totals(spark, summary, state, lambda _: True, at_least=2)
+    assert sums(spark, summary, state) == expected
+    load("load-3", ("a", "1", "4"))
+    fold_totals(spark, summary, state, lambda _: True, at_least=1)
+    assert sums(spark, summary, state)[0] == {"a": (4, 10.0), "c0": (1, 1.0), "c1": (1, 1.0), "c2": (1, 1.0)}
+    assert [f for f in os.listdir(summary) if f.startswith("batch_id=")] == []
+
+
+# --- merged folders --------------------------------------------------------
+
+
+def folders(table, company):
+    return sorted(f for f in os.listdir(pathlib.Path(table, f"company_name={company}")) if f.startswith("batch_id="))
+
+
+@pytest.fixture
+def history(spark, tmp_path):
+    """Six loads of two companies, one of them with a name that is escaped in paths."""
+    table = str(tmp_path / "history")
+    for n in range(6):
+        append_sales(sales(spark, ("a", f"{n}"), ("b=%c", f"{n}")), table, f"load-{n}")
+    return table
+
+
+COLUMNS = ["company_name", "invoice_id", "total", "batch_id"]
+
+
+def test_merged_loads_keep_rows_and_names(spark, history):
+    before = rows(sales_table(spark, history), *COLUMNS)
+    assert merge_history(spark, history, ["a"], lambda name: name != "load-5", at_least=5)
+    assert rows(sales_table(spark, history), *COLUMNS) == before
+    assert len(folders(history, "a")) == 2 and len(folders(history, "b%3D%25c")) == 6
+    assert rows(sales_table(spark, history, ["b=%c"]), *COLUMNS) == [r for r in before if r[0] == "b=%c"]
+    # Later loads come beside; large folders stay as they are.
+    append_sales(sales(spark, ("a", "6")), history, "load-6")
+    assert merge_history(spark, history, ["a", "b=%c"], lambda _: True, at_least=3)
+    assert len(folders(history, "a")) == len(folders(history, "b%3D%25c")) == 1
+    assert merge_history(spark, history, ["a"], lambda _: True, at_least=1, below=10) == []
+    assert len(rows(sales_table(spark, history), *COLUMNS)) == len(before) + 1
+    assert not os.listdir(pathlib.Path(history, merging.PLANS))
+
+
+@pytest.mark.parametrize("call", [0, 1, 2, 5, 6, 7, 8, 14, 20, 21, 22])
+def test_a_merge_that_dies_anywhere_is_finished(spark, history, monkeypatch, call):
+    """Readers see every row once after each step, and the next merge ends it."""
+    before = rows(sales_table(spark, history), *COLUMNS)
+    steps = []
+
+    def dying(name):
+        work = getattr(merging, name)
+
+        def run(*args, **kwargs):
+            steps.append(name)
+            if len(steps) == call + 1:
+                raise RuntimeError("lost")
+            return work(*args, **kwargs)
+
+        return run
+
+    with monkeypatch.context() as m:
+        for name in ("write_text", "_write", "move_folder", "delete_tree"):
+            m.setattr(merging, name, dying(name))
+        with pytest.raises(RuntimeError, match="lost"):
+            merge_history(spark, history, ["a", "b=%c"], lambda _: True, at_least=2)
+    assert rows(sales_table(spark, history), *COLUMNS) == before
+    assert rows(sales_table(spark, history, ["a"]), *COLUMNS) == [r for r in before if r[0] == "a"]
+    merge_history(spark, history, ["a", "b=%c"], lambda _: True, at_least=2)
+    assert rows(sales_table(spark, history), *COLUMNS) == before
+    assert len(folders(history, "a")) == len(folders(history, "b%3D%25c")) == 1
+    assert not os.listdir(pathlib.Path(history, merging.PLANS))
+
+
+def test_schemas_agree():
+    assert STORED_SCHEMA.names == [*HISTORY_SCHEMA.names, "load_id"]
+    assert set(SUMMARY_KEYS) <= set(SALES_COLUMNS)
