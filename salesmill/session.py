@@ -36,6 +36,27 @@ def local_session(cpus: int | str = "*", memory: str = "8g", name: str = "salesm
     return spark
 
 
+_ROOTS: dict[str, str] = {}
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    """The folder of this application in the scratch space, deleted when its JVM ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _ROOTS:
+        base = spark.conf.get("spark.checkpoint.dir", None)
+        if not base:
+            if not spark.sparkContext.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+            base = tempfile.mkdtemp(prefix="salesmill-")
+        root = f"{base.rstrip('/')}/salesmill-{uuid.uuid4().hex}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        _ROOTS[app] = root
+    return _ROOTS[app]
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder in the shared scratch space of the cluster.
 
@@ -43,9 +64,4 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     may do without; elsewhere a machine-local folder would be invisible to the
     other machines, so its absence is an error.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="salesmill-")
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
