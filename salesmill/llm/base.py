@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Callable, Iterator
 
@@ -13,10 +14,17 @@ from pyspark.sql import functions as F
 from salesmill.session import scratch_path
 
 
+Mapper = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
 def small_batches(spark: SparkSession) -> None:
-    """Texts go to Python some megabytes at a time: rows are of very different sizes."""
+    """Texts go to Python and to files some megabytes at a time: rows are of very different sizes.
+
+    A task that writes Parquet holds a whole row group, so these are smaller, too.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(2 << 20))
+    spark.conf.set("parquet.block.size", str(32 << 20))
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -81,6 +89,20 @@ def one_thread() -> None:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
 
 
+def lean(mapper: Mapper) -> Mapper:
+    """The same, giving freed memory back at its end: workers wait for their next task idle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from mapper(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+                trim(0)
+
+    return run
+
+
 def arrow_batch(schema: pa.Schema, columns: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(columns[f.name], type=f.type) for f in schema], schema=schema
@@ -111,6 +133,3 @@ class Filter:
     def may_hold(self, hashes: np.ndarray) -> np.ndarray:
         slot = hashes.astype(np.int64) & (self.BITS - 1)
         return (self.bits[slot >> 6] >> (slot & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
-
-
-Mapper = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmill.llm.base import held_out, read, slices, small_batches, texts_of
+from salesmill.llm.base import held_out, lean, read, slices, small_batches, texts_of
 
 UNKNOWN = "und"
 WINDOW = 256
@@ -214,7 +214,7 @@ def identified(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     net = docs.sparkSession.sparkContext.broadcast(trained(docs, sample))
     rows = docs.drop("lang_pred", "score")
     schema = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes) + ", lang_pred string, score double"
-    return rows.mapInArrow(_predictor(net), schema)
+    return rows.mapInArrow(lean(_predictor(net)), schema)
 
 
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:

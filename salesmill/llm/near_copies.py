@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmill.llm.base import arrow_batch, read, saved, shuffle_width, slices, small_batches, texts_of
+from salesmill.llm.base import arrow_batch, lean, read, saved, shuffle_width, slices, small_batches, texts_of
 from salesmill.llm.components import components
 
 WORDS = 3
@@ -79,7 +79,7 @@ def _printer(words: int):
 def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """(doc_id, print), the print as a signed number with the same bits."""
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return rows.mapInArrow(_printer(words), "doc_id long, print long")
+    return rows.mapInArrow(lean(_printer(words)), "doc_id long, print long")
 
 
 class BKTrees:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from salesmill.llm.base import arrow_batch, read, saved, shuffle_width, slices, small_batches, texts_of
+from salesmill.llm.base import arrow_batch, lean, read, saved, shuffle_width, slices, small_batches, texts_of
 from salesmill.llm.encode import BYTE_BPE, encoder
 
 SEQUENCE = 2048
@@ -79,7 +79,7 @@ def pieces(
 ) -> DataFrame:
     """The documents' pieces, none longer than a sequence."""
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return rows.mapInArrow(_cutter(vocabulary, kind, capacity, end_id), PIECE_SQL)
+    return rows.mapInArrow(lean(_cutter(vocabulary, kind, capacity, end_id)), PIECE_SQL)
 
 
 class Packer:

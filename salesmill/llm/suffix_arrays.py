@@ -48,6 +48,7 @@ from salesmill.llm.base import (
     Filter,
     arrow_batch,
     concatenated,
+    lean,
     read,
     row_key,
     saved,
@@ -61,7 +62,8 @@ from salesmill.llm.hashing import mixed, prefixes, spans
 LENGTH = 200
 CORE = 64
 SHARD = 128  # different contexts of one core in a shard
-SHARD_BYTES = 1 << 20  # contexts sorted together
+SHARD_BYTES = 1 << 18  # contexts sorted together, so that their arrays stay in the cache
+BODIES = 4096  # ranges that leave a text together
 BATCH_BYTES = 1 << 20
 
 # Strings that start from ``low`` to ``high`` in the text ``k`` and hold the same
@@ -186,8 +188,15 @@ def sorted_suffixes(key: np.ndarray) -> np.ndarray:
     return order
 
 
-# Below these, two words of eight bytes differ only after one, two ... bytes.
-_EQUAL = np.array([1 << 8 * j for j in range(7, -1, -1)], np.uint64)
+def equal_bytes(one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """How many leading bytes two words have in common, up to eight.
+
+    The exponent of the difference tells its highest bit; the bit below is cleared, so
+    that rounding to a double cannot reach the next power of two.
+    """
+    differ = one ^ other
+    differ &= ~(differ >> np.uint64(1))
+    return (64 - np.frexp(differ.astype(np.float64))[1]) >> 3
 
 
 def common_prefixes(key: np.ndarray, edges: np.ndarray, order: np.ndarray, limit: int) -> np.ndarray:
@@ -200,25 +209,30 @@ def common_prefixes(key: np.ndarray, edges: np.ndarray, order: np.ndarray, limit
     n = len(key)
     before = np.full(n, -1, np.int64)  # the neighbour of each suffix
     before[order[1:]] = order[:-1]
+    room = np.minimum(n - np.maximum(np.arange(n), before), limit)
+    room[before < 0] = 0
     shared = np.zeros(n, np.int64)
     sizes = np.diff(edges)
+    # The contexts that still go on are the first ones in order of size.
+    by_size = np.argsort(-sizes, kind="stable")
+    starts = edges[:-1][by_size]
+    live = np.searchsorted(-sizes[by_size], -np.arange(int(sizes.max(initial=0))), side="left")
     have = np.zeros(len(sizes), np.int64)
-    for j in range(int(sizes.max(initial=0))):
-        live = np.flatnonzero(sizes > j)
-        i = edges[live] + j
-        near = before[i]
-        h = np.maximum(have[live] - 1, 0)
-        h[near < 0] = 0
-        room = np.minimum(np.where(near < 0, 0, n - np.maximum(i, near)), limit)
-        h = np.minimum(h, room)
-        on = np.flatnonzero(h < room)
+    for j, m in enumerate(live.tolist()):
+        i = starts[:m] + j
+        most = room[i]
+        h = np.minimum(np.maximum(have[:m] - 1, 0), most)
+        on = np.flatnonzero(h < most)
         while len(on):
-            differ = key[i[on] + h[on]] ^ key[near[on] + h[on]]
-            h[on] += (differ[:, None] < _EQUAL).sum(1)
-            on = on[(differ == 0) & (h[on] < room[on])]
-        h = np.minimum(h, room)
+            here = i[on]
+            far = h[on]
+            same = equal_bytes(key[here + far], key[before[here] + far])
+            far += same
+            h[on] = far
+            on = on[(same == 8) & (far < most[on])]
+        np.minimum(h, most, out=h)
         shared[i] = h
-        have[live] = h
+        have[:m] = h
     out = np.zeros(n, np.int64)
     out[1:] = shared[order[1:]]
     return out
@@ -332,22 +346,24 @@ def _bodies(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", BATCH_BYTES):
             for text, ranges in zip(texts_of(batch.column("text")), batch.column("ranges")):
-                rows = pa.Table.from_struct_array(ranges.values)
-                low, high = rows["low"].to_pylist(), rows["high"].to_pylist()
-                columns = {n: rows[n].combine_chunks() for n in names}
-                columns["body"] = pa.array([text[s : e + LENGTH] for s, e in zip(low, high)], pa.binary())
-                yield pa.RecordBatch.from_pydict(columns)
+                # A long text has many ranges; they leave some at a time.
+                for start in range(0, len(ranges.values), BODIES):
+                    rows = pa.Table.from_struct_array(ranges.values.slice(start, BODIES))
+                    low, high = rows["low"].to_pylist(), rows["high"].to_pylist()
+                    columns = {n: rows[n].combine_chunks() for n in names}
+                    columns["body"] = pa.array([text[s : e + LENGTH] for s, e in zip(low, high)], pa.binary())
+                    yield pa.RecordBatch.from_pydict(columns)
 
-    return joined.mapInArrow(run, schema)
+    return joined.mapInArrow(lean(run), schema)
 
 
 def marks(docs: DataFrame, shard: int = SHARD) -> DataFrame:
     """(k, start, stop) of runs of bytes to remove, of texts with a key ``k``; runs may overlap."""
     spark = docs.sparkSession
     texts = docs.select("k", "text").where(F.octet_length("text") >= LENGTH)
-    often = saved(_often(texts.mapInArrow(_finder(None), RANGE_SQL)), "cores")
+    often = saved(_often(texts.mapInArrow(lean(_finder(None)), RANGE_SQL)), "cores")
     keep = spark.sparkContext.broadcast(Filter(often))
-    ranges = saved(texts.mapInArrow(_finder(keep), RANGE_SQL).join(often, "core"), "ranges")
+    ranges = saved(texts.mapInArrow(lean(_finder(keep)), RANGE_SQL).join(often, "core"), "ranges")
     found = []
     while True:
         inline = "body" in ranges.columns
@@ -371,11 +387,11 @@ def marks(docs: DataFrame, shard: int = SHARD) -> DataFrame:
         bodies = saved(wanted if inline else _bodies(docs, wanted), "bodies").select(*BODY.names, "kinds")
         small = bodies.where(F.col("kinds") <= shard).repartition(shuffle_width(spark), "core")
         rows = small.select("core", "k", "low", "body").sortWithinPartitions("core")
-        found.append(rows.mapInArrow(_sharder, MARK_SQL))
+        found.append(rows.mapInArrow(lean(_sharder), MARK_SQL))
         large = bodies.where(F.col("kinds") > shard)
         if large.isEmpty():
             break
-        halves = saved(large.select(*BODY.names).mapInArrow(_halver, BODY_SQL), "halves")
+        halves = saved(large.select(*BODY.names).mapInArrow(lean(_halver), BODY_SQL), "halves")
         ranges = halves.join(_often(halves), "core")
     out = found[0]
     for more in found[1:]:
@@ -395,9 +411,11 @@ def merged(runs: np.ndarray, size: int) -> np.ndarray:
     return np.stack([starts, np.minimum(stop[last], size)], 1)
 
 
-def _remover(columns: list[str], marked: bool):
+def _remover(columns: list[str], marked: bool, as_text: bool, first=None):
+    """Texts without their marked bytes; ``first`` is applied to the batches before."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", BATCH_BYTES):
+        for batch in slices(first(batches) if first else batches, "text", BATCH_BYTES):
             texts = texts_of(batch.column("text"))
             runs = batch.column("runs").to_pylist() if marked else [None] * len(texts)
             kept, removed, count = [], [], []
@@ -413,22 +431,29 @@ def _remover(columns: list[str], marked: bool):
                 removed.append(int((cut[:, 1] - cut[:, 0]).sum()))
                 count.append(len(cut))
             out = {c: batch.column(c) for c in columns}
+            if as_text:
+                # Characters that lost some of their bytes go.
+                out["text"] = pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string())
+            else:
+                out["kept"] = pa.array(kept, pa.binary())
             out |= {
-                "kept": pa.array(kept, pa.binary()),
                 "n_bytes": pa.array(map(len, texts), pa.int64()),
                 "n_removed": pa.array(removed, pa.int64()),
                 "n_spans": pa.array(count, pa.int64()),
             }
             yield pa.RecordBatch.from_pydict(out)
 
-    return run
+    return lean(run)
 
 
 ADDED = ("kept", "n_bytes", "n_removed", "n_spans")
 
 
-def without_repeats(docs: DataFrame, shard: int = SHARD) -> DataFrame:
-    """The documents with ``kept`` (bytes), ``n_bytes``, ``n_removed`` and ``n_spans``."""
+def without_repeats(docs: DataFrame, shard: int = SHARD, as_text: bool = False) -> DataFrame:
+    """The documents with ``kept`` (bytes), ``n_bytes``, ``n_removed`` and ``n_spans``.
+
+    With ``as_text`` the column ``text`` holds what is kept, in place of ``kept``.
+    """
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.drop(*ADDED, "k", "runs").withColumn("k", row_key())
@@ -438,10 +463,11 @@ def without_repeats(docs: DataFrame, shard: int = SHARD) -> DataFrame:
     typed = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes)
     own = [c for c in docs.columns if c != "k"]
     schema = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes if n != "k")
-    schema += ", kept binary, n_bytes long, n_removed long, n_spans long"
-    plain = docs.mapInArrow(_passing(keep, False), typed).mapInArrow(_remover(own, False), schema)
+    schema += ("" if as_text else ", kept binary") + ", n_bytes long, n_removed long, n_spans long"
+    # One function, not two in a row: each would keep a Python worker of its own.
+    plain = docs.mapInArrow(_remover(own, False, as_text, _passing(keep, False)), schema)
     cut = docs.mapInArrow(_passing(keep, True), typed).join(runs, "k", "left")
-    return plain.unionByName(cut.mapInArrow(_remover(own, True), schema))
+    return plain.unionByName(cut.mapInArrow(_remover(own, True, as_text), schema))
 
 
 def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:

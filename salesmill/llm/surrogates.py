@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmill.llm.base import arrow_batch, read, saved, slices, small_batches
+from salesmill.llm.base import arrow_batch, lean, read, saved, slices, small_batches
 
 KEY = b"surrogates of the checks"  # a user passes a secret of their own
 LOOSE = 6
@@ -336,7 +336,7 @@ def replaced(docs: DataFrame, key: bytes = KEY) -> DataFrame:
     small_batches(docs.sparkSession)
     docs = docs.drop("n_replaced")
     keyed = docs.withColumn("_row", F.xxhash64(F.col("text")))
-    found = keyed.select(F.col("_row").alias("row"), "text").mapInArrow(_finder, f"row long, {FOUND_SQL}")
+    found = keyed.select(F.col("_row").alias("row"), "text").mapInArrow(lean(_finder), f"row long, {FOUND_SQL}")
     found = saved(found.distinct(), "entities")
     names = assigned(saved(inventoried(found), "inventory"), key)
     by_row = (
@@ -353,7 +353,7 @@ def replaced(docs: DataFrame, key: bytes = KEY) -> DataFrame:
     order = [*docs.columns, "_names"]
     schema = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes) + ", n_replaced int"
     return plain.select(*docs.columns, "n_replaced").unionByName(
-        joined.select(*order).mapInArrow(_replacer(docs.columns), schema)
+        joined.select(*order).mapInArrow(lean(_replacer(docs.columns)), schema)
     )
 
 
