@@ -1,9 +1,9 @@
 """The five stages one after another."""
 
-import random
-
 import corpus_pipeline
-from salesmill.llm import similar_texts
+from pyspark.sql import functions as F
+
+from salesmill.llm.near_copies import near_copies
 from salesmill.llm.surrogates import entities
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -34,53 +34,42 @@ def test_stages_take_effect(spark, documents, prose):
     assert all(r["n_chars"] == len(r["text"]) for r in kept["surrogates"].collect())
 
 
-def shingle_sets(text):
-    found = (text or "").lower().split()
-    return {tuple(found[i : i + 5]) for i in range(max(1, len(found) - 4))} if found else set()
-
+def test_one_document_of_each_component_stays(spark, documents, prose):
+    """The groups are those of the operator with its own words and bits."""
+    rows = [(i, prose(i, 150)) for i in range(40)]
+    for i in range(40):
+        near = rows[i][1].split()
+        near[75] = "other"
+        rows += [(100 + i, " ".join(near)), (200 + i, rows[i][1].upper())][: 1 + i % 2]
+    rows += [(300, ""), (301, None), (302, "12"), (rows[0]), (None, rows[1][1])]
+    docs = documents(*rows)
+    component = {}
+    for r in near_copies(docs.withColumn("doc_id", F.coalesce("doc_id", F.lit(999)))).collect():
+        component.setdefault(r["component_id"], set()).add(r["doc_id"])
+    kept = corpus_pipeline.one_of_near_copies(spark, docs, "").select("doc_id").collect()
+    kept = [999 if r[0] is None else r[0] for r in kept]
+    assert len(kept) == len(set(kept)) == len(component)
+    assert all(len(group & set(kept)) == 1 for group in component.values())
 
-def similarity(one, other):
-    return len(one & other) / len(one | other) if one | other else 1.0
 
+CLASHING = ["k", "runs", "kept", "_row", "_names", "lang_pred", "_key", "n_replaced", "score", "n_bytes", "_some"]
 
-def test_near_copies_of_four_fifths_are_found(spark, documents, prose):
-    """Planted pairs on both sides of the limit, a large group, a chain, short and odd texts."""
-    texts = []
-    for i in range(120):
-        base = prose(i, 200).split()
-        near = list(base)
-        for at in random.Random(i).sample(range(200), 1 + i % 6):
-            near[at] = f"new{at}"
-        texts += [" ".join(base), " ".join(near)]
-    for i in range(150):
-        near = prose(500, 150).split()
-        near[i] = "other"
-        texts.append(" ".join(near))
-    chain = prose(600, 260).split()
-    texts += [" ".join(chain[i : i + 200]) for i in range(0, 60, 15)]
-    texts += ["", None, " \n", "one two", "One\tTWO", "one two three", texts[0].upper(), texts[0]]
-    sets = [shingle_sets(t) for t in texts]
-    root = list(range(len(texts)))
-    pairs = [(i, j) for i in range(len(texts)) for j in range(i) if similarity(sets[i], sets[j]) >= 0.8]
-    for i, j in pairs:
-        root = [min(root[i], root[j]) if r in (root[i], root[j]) else r for r in root]
-    kept = corpus_pipeline.one_of_near_copies(spark, documents(*enumerate(texts)), "").select("doc_id").collect()
-    got = [root[r[0]] for r in kept]
-    assert sorted(got) == sorted(set(root))
-    assert len({root[i] for i, _ in pairs}) > 50 and len(pairs) < len(texts) ** 2 / 4
 
+def test_further_columns_come_through_untouched(spark, documents, prose):
+    passage = prose(7, 80)
+    rows = [(i, prose(i, 60) + (passage if i < 2 else "")) for i in range(6)] + [(6, "Mail a.b@example.com " + prose(9, 9))]
+    rows += [(7, "word " * 30_000 + prose(8, 40))]
+    docs = documents(*rows).withColumns({c: F.concat(F.lit(c), F.col("doc_id")) for c in CLASHING})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, "")
+        assert docs.columns == COLUMNS + CLASHING
+        docs = spark.createDataFrame(docs.collect(), docs.schema)
+        assert all(r[c] == f"{c}{r['doc_id']}" for r in docs.collect() for c in CLASHING)
+    assert docs.count() == 8
+    assert {r[0] for r in corpus_pipeline.packed(spark, docs, "").select("doc_id").collect()} == set(range(8))
 
-def test_buckets_are_settled_over_several_rounds(spark):
-    """Pivots that are alike to nobody do not keep the others apart."""
-    import numpy as np
 
-    sets = {i: set(range(100 * i, 100 * i + 50)) for i in range(20)}
-    sets |= {100 + i: set(range(9000 + 2 * i, 9050 + 2 * i)) for i in range(20)}
-    rows = [(n, np.array(sorted(s), np.uint64).tobytes()) for n, s in sets.items()]
-    table = spark.createDataFrame([(bytearray(h), n) for n, h in rows], "has binary, node long")
-    dealt = spark.createDataFrame([(b, n) for n in sets for b in (7, 8)], "bucket long, node long")
-    links = {tuple(sorted(r)) for r in similar_texts.linked(dealt, table.select("node", "has")).collect()}
-    reached = {100}
-    for _ in sets:
-        reached |= {n for pair in links for n in pair if reached & set(pair)}
-    assert reached == {100 + i for i in range(20)} and all(a >= 100 for a, _ in links)
+def test_empty_table(spark, documents):
+    docs = documents()
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, "").count() == 0
