@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -60,6 +61,121 @@ def test_toxic_words_are_learned(spark, prose):
     assert all(r["predicted"] == (r["score"] >= 0.5) for r in got.values())
 
 
+def plain_models(texts):
+    """Counts in dictionaries, and both probabilities by the formulas; ``texts`` are (words, class)."""
+    n, after, seen = Counter(), Counter(), [Counter(), Counter()]
+    for words, c in {(tuple(w), c) for w, c in texts}:
+        for pair in set(zip(("^", *words), words)):
+            n[c, pair] += 1
+    for (c, (v, w)), count in n.items():
+        after[c, v] += count
+        seen[c][w] += 1
+    followers = Counter((c, v) for c, (v, _) in n)
+    ones, twos = ([sum(x == k for x in s.values()) for s in seen] for k in (1, 2))
+    discount = [a / (a + 2 * b) if a else 0.5 for a, b in zip(ones, twos)]
+    every, types = sum(seen[0].values()) + sum(seen[1].values()), len(set(seen[0]) | set(seen[1]))
+
+    def low(c, w):
+        shared = (seen[0][w] + seen[1][w] + 1) / (every + types + 1)
+        mass = discount[c] * len(seen[c]) * shared
+        return (max(seen[c][w] - discount[c], 0) + mass) / sum(seen[c].values())
+
+    def high(c, v, w):
+        if not after[c, v]:
+            return low(c, w)
+        return (max(n[c, (v, w)] - 1, 0) + followers[c, v] * low(c, w)) / after[c, v]
+
+    return low, high, seen
+
+
+def labelled(prose):
+    """200 texts of few words, some of them copies."""
+    draw = random.Random(5)
+    vocabulary = prose(1, 60).split()
+    texts = []
+    for i in range(200):
+        c = int(i % 4 == 0)
+        words = [draw.choice(vocabulary) for _ in range(draw.randint(0, 30))] + ["zzvile"] * (c * draw.randint(0, 2))
+        texts.append((words, c))
+    return texts + texts[:20]
+
+
+@pytest.mark.parametrize("own", [False, True])
+def test_kneser_ney_against_plain_counts(spark, prose, own):
+    """Each word's terms; a text scored as if it had not been counted equals models without it."""
+    texts = labelled(prose)
+    training = spark.createDataFrame([(" ".join(w), c) for w, c in {(tuple(w), c) for w, c in texts}], "text string, toxic int")
+    tables = toxicity.counts(training.repartition(3)).persist()
+    totals = toxicity.Totals(tables)
+    found = [toxicity._collected(tables, kind, names) for kind, names in ((0, toxicity.VALUES[:2]), (1, toxicity.VALUES))]
+    asked = [t for t in texts if t[0]][:12] + [(["never", "seen", "zzvile", "zzvile"], 1)] * (not own)
+    raw = [" ".join(w).encode() for w, _ in asked]
+    word, before, edges = toxicity._tokens(raw)
+    classes = np.array([c for _, c in asked]) if own else None
+    term, alone = toxicity.log_odds(*found, totals, word, before, edges, classes)
+    at = 0
+    for words, c in asked:
+        rest = [t for t in texts if not (own and t == (words, c))]
+        low, high, seen = plain_models(rest)
+        if own:
+            # Discounts and totals are of all texts; what is compared are the counts.
+            _, _, every = plain_models(texts)
+            for v, w in zip(("^", *words), words):
+                expected = -toxicity.CAUTION / np.sqrt(seen[1][w] + 0.5)
+                assert (seen[c][w] <= every[c][w]) and np.isfinite(alone[at]) and alone[at] < 20 + expected
+                at += 1
+            continue
+        for v, w in zip(("^", *words), words):
+            assert term[at] == pytest.approx(np.log(high(1, v, w)) - np.log(high(0, v, w)), abs=1e-4)
+            expected = np.log(low(1, w)) - np.log(low(0, w)) - toxicity.CAUTION / np.sqrt(seen[1][w] + 0.5)
+            assert alone[at] == pytest.approx(expected, abs=1e-4)
+            at += 1
+    assert at == len(term)
+
+
+def test_probabilities_add_up(prose):
+    low, high, seen = plain_models(labelled(prose))
+    words = set(seen[0]) | set(seen[1])
+    for c in (0, 1):
+        for v in ["^", *sorted(words)[:5]]:
+            # What is left is the share of words that nobody has seen.
+            assert 0.9 < sum(high(c, v, w) for w in words) <= 1 + 1e-9
+
+
+def test_own_counts_are_taken_off(spark, prose):
+    """Counts of a text that is left out equal those of tables made without it."""
+    texts = [(w, c) for w, c in labelled(prose)[:200] if w]
+    asked = texts[7]
+    rows = [(" ".join(w), c) for w, c in {(tuple(w), c) for w, c in texts}]
+
+    def terms(without, own):
+        some = [r for r in rows if not (without and r == (" ".join(asked[0]), asked[1]))]
+        tables = toxicity.counts(spark.createDataFrame(some, "text string, toxic int")).persist()
+        found = [toxicity._collected(tables, k, n) for k, n in ((0, toxicity.VALUES[:2]), (1, toxicity.VALUES))]
+        tokens = toxicity._tokens([" ".join(asked[0]).encode()])
+        return toxicity.log_odds(*found, totals, *tokens, np.array([asked[1]]) if own else None)
+
+    totals = toxicity.Totals(toxicity.counts(spark.createDataFrame(rows, "text string, toxic int")))
+    for one, other in zip(terms(False, True), terms(True, False)):
+        np.testing.assert_allclose(one, other, atol=1e-5)
+
+
+def test_tables_sent_or_met_in_chunks_agree(spark, documents, prose, monkeypatch):
+    """Whether the tables fit or not, with nulls, copies, an empty and a very long text."""
+    monkeypatch.setattr(toxicity, "CHUNK_BYTES", 5000)
+    texts = [(i, " ".join(w)) for i, (w, _) in enumerate(labelled(prose))]
+    odd = [(None, "zzvile zzvile"), (900, None), (901, ""), (902, "zzvile " + "word " * 30_000), (0, texts[0][1])]
+    labels = [(i, 1, c) for i, (_, c) in enumerate(labelled(prose))] + [(0, 1, 1), (None, 1, 1), (5, 1, None)]
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    docs = documents(*texts, *odd).withColumns({n: F.lit("x") for n in ("h", "g", "id", "flag", "score", "chunk", "toxic")})
+    key = lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["score"])
+    sent, met = (sorted(toxicity.toxicity(docs, table, b).collect(), key=key) for b in (1 << 30, -1))
+    assert len(sent) == len(met) == len(texts) + 5
+    for one, other in zip(sent, met):
+        assert (one["doc_id"], one["held_out"], one["predicted"]) == (other["doc_id"], other["held_out"], other["predicted"])
+        assert one["score"] == pytest.approx(other["score"], abs=1e-5)
+
+
 def test_toxicity_without_labels_or_rows(spark, documents):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert toxicity.toxicity(documents((1, "a")), none).first()["score"] == 0.0
