@@ -27,6 +27,7 @@ added, in the place of one of that name.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import hmac
 import re
@@ -59,7 +60,7 @@ _SMALL = "".join(c for c in map(chr, range(0x80, 0x10000)) if c.islower() and c.
 _UP = rf"[^\W\d_a-z{_SMALL}]"
 _REST = r"[^\W\d_]+(?:[-'’][^\W\d_]+)*"
 _FULL = rf"(?!(?:{_TITLE})\b)(?:{_UP}|(?:[dl]|al|el|[OD])[-'’]{_UP})(?:{_REST}|['’]{_REST})"
-_BEFORE = rf"(?:{'|'.join(PARTICLES)}) |(?:{_UP}\.[ -]?)+(?<=[ .-])|{_UP} (?={_UP})"
+_BEFORE = rf"(?:{'|'.join(PARTICLES)}) |(?:{_UP}\.[ -]?)++(?<=[ .-])|{_UP} (?={_UP})"
 # Initials and particles, then capitalised parts in any number; the first part may be of any letter but a-z.
 _NAME = (
     rf"(?:{_BEFORE})*(?:{_FULL}|(?!(?:{_TITLE})\b)[^\W\d_a-z]{_REST})"
@@ -77,7 +78,7 @@ PATTERNS = (
         r"([A-Za-z0-9_\-./+]{12,})"
     )),
     ("secret", re.compile(r"\b([0-9a-f]{32,}|[0-9A-F]{32,})\b")),
-    ("email", re.compile(r"([A-Za-z0-9](?:[A-Za-z0-9._%+\-]*[A-Za-z0-9_+\-])?@(?:[A-Za-z0-9](?:[A-Za-z0-9\-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,})")),
+    ("email", None),  # found from its @ by ``addresses``
     ("iban", re.compile(r"\b([A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)\b")),
     ("card", re.compile(r"(?<![\w.\-+])(\d(?:[ -]?\d){12,18})(?![\w\-])")),
     ("ip", re.compile(r"(?<![\w.])((?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d))(?!\.?\w)")),
@@ -87,8 +88,14 @@ PATTERNS = (
         rf"(?<![\w+.\-])(\+(?:\d{{7,15}}(?!\d)|[17]{_ON}{{6,10}}(?!\d)|(?:{_CODES}|\d{{3}}){_ON}{{4,12}}(?!\d))"
         r"|\(\d{2,4}\)[ .\-]?\d{3,4}[ .\-]?\d{3,4}|\d{3}[.\-]\d{3}[.\-]\d{4})(?![\w\-])"
     )),
-    ("name", re.compile(rf"\b(?:(?:{_TITLE})\.? )+({_NAME})")),
+    ("name", None),  # found behind its titles by ``titled``
 )
+_LOCAL = re.compile(r"[A-Za-z0-9._%+\-]*")
+_DOMAIN = re.compile(r"(?:[A-Za-z0-9](?:[A-Za-z0-9\-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}")
+_LETTER_OR_DIGIT = re.compile(r"[A-Za-z0-9]")
+_LOCAL_END = re.compile(r"[A-Za-z0-9_+\-]")
+_TITLES = re.compile(rf"\b(?:(?:{_TITLE})\.? )++")
+_TITLED = re.compile(_NAME)
 _ANY_TITLE = re.compile(rf"\b(?:{_TITLE})\b")
 _DIGIT = re.compile(r"\d")
 _ASKS = re.compile(r"(?i)token|secret|passw|key")
@@ -104,21 +111,53 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
     if not (digits or at or title or _ASKS.search(text)):
         return []
     taken: list[tuple[int, int, str, str]] = []
+    starts: list[int] = []
+    ends: list[int] = []
     for kind, pattern in PATTERNS:
         if kind == "email" and not at or kind == "name" and not title:
             continue
         if kind in ("iban", "card", "ip", "ssn", "phone") and not digits:
             continue
         # What is taken already ends a phone number, whatever it looks like.
-        for m in pattern.finditer(_masked(text, taken) if kind == "phone" else text):
-            s, e = m.span(1)
-            if all(e <= a or s >= b for a, b, *_ in taken):
-                name = canonical(kind, m[1], m[0])
+        where = _masked(text, taken) if kind == "phone" else text
+        finder = {"email": addresses, "name": titled}.get(kind)
+        spans = finder(text) if finder else ((*m.span(1), m[0]) for m in pattern.finditer(where))
+        for s, e, whole in spans:
+            # Spans do not overlap, so starts and ends have one order.
+            i = bisect.bisect_left(starts, s)
+            if (i == 0 or ends[i - 1] <= s) and (i == len(starts) or starts[i] >= e):
+                name = canonical(kind, where[s:e], whole)
                 if name:
+                    starts.insert(i, s)
+                    ends.insert(i, e)
                     taken.append((s, e, *name))
     return sorted(taken)
 
 
+def addresses(text: str) -> Iterator[tuple[int, int, str]]:
+    """(start, end, address) of e-mail addresses: from each @ back and forth, so every character is read a few times."""
+    back, done, at = text[::-1], 0, text.find("@")
+    while at >= 0:
+        domain = _DOMAIN.match(text, at + 1)
+        if domain and at and _LOCAL_END.match(text, at - 1):
+            first = max(done, len(text) - _LOCAL.match(back, len(text) - at).end())
+            start = _LETTER_OR_DIGIT.search(text, first, at)
+            if start:
+                done = domain.end()
+                yield start.start(), done, text[start.start() : done]
+        at = text.find("@", at + 1)
+
+
+def titled(text: str) -> Iterator[tuple[int, int, str]]:
+    """(start, end, name with its titles) of names; a run of titles is read once."""
+    titles = _TITLES.search(text)
+    while titles:
+        name = _TITLED.match(text, titles.end())
+        if name:
+            yield *name.span(), text[titles.start() : name.end()]
+        titles = _TITLES.search(text, (name or titles).end())
+
+
 def _masked(text: str, taken: list[tuple[int, int, str, str]]) -> str:
     parts, at = [], 0
     for s, e, *_ in sorted(taken):
@@ -272,7 +311,7 @@ def _finder(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 rows["row"].append(row)
                 rows["kind"].append(kind)
                 rows["name"].append(name)
-        yield arrow_batch(pa.schema([("row", pa.int64()), *FOUND]), rows)
+        yield arrow_batch(pa.schema([("row", pa.string()), *FOUND]), rows)
 
 
 def family() -> F.Column:
@@ -335,8 +374,8 @@ def replaced(docs: DataFrame, key: bytes = KEY) -> DataFrame:
     """The documents with surrogates for all entities, and ``n_replaced``."""
     small_batches(docs.sparkSession)
     docs = docs.drop("n_replaced")
-    keyed = docs.withColumn("_row", F.xxhash64(F.col("text")))
-    found = keyed.select(F.col("_row").alias("row"), "text").mapInArrow(lean(_finder), f"row long, {FOUND_SQL}")
+    keyed = docs.withColumn("_row", F.md5(F.col("text").cast("binary")))
+    found = keyed.select(F.col("_row").alias("row"), "text").mapInArrow(lean(_finder), f"row string, {FOUND_SQL}")
     found = saved(found.distinct(), "entities")
     names = assigned(saved(inventoried(found), "inventory"), key)
     by_row = (
