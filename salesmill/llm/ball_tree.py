@@ -6,7 +6,7 @@ left, and knows their centre c and radius r. No vector below it scores more than
 q.c + |q| r. The queries of a block go down a tree together, each only to nodes
 whose bound reaches its k-th score, and open the leaves in order of bound.
 
-That k-th score is shared: every query searches one shard first, and the k-th
+That k-th score is shared: every query searches a few shards first, and the k-th
 score it finds there goes with it to all other shards as a floor.
 
 Scores are sums of products of whole numbers and exact: doubles are used only
@@ -16,9 +16,9 @@ above the rounding of doubles.
 Defined results: vectors that are null, empty or hold null or non-finite
 components take no part, nor do rows without id; vectors meet only those of the
 same length; a zero vector is like any other; equal scores go to the smaller id;
-copies of a vector under other ids are candidates; of repeated ids one row
-counts, that with the least vector; an empty table gives no rows. Other columns
-are ignored.
+copies of a vector are candidates; rows of one id are rows like others, each a query
+and a candidate of all but itself; an empty table gives no rows. Other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -28,13 +28,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmill.llm.base import read, saved
-from salesmill.llm.vectors import blocks, dumped, loaded, met, ranked, shards, vectors
+from salesmill.llm.vectors import blocks, dumped, loaded, met, ranked, shard_count, shards, vectors
 
 K = 5
 SCALE = 256
 SHARD = 4096
 BLOCK = 256
 LEAF = 64
+PILOT = 64  # one shard of so many is searched first
 NONE = -(1 << 62)
 EXACT = float(1 << 53)
 
@@ -150,28 +151,29 @@ def top_inner_products(
     ``is_query`` is a condition on the column ``id``.
     """
     whole = F.transform("v", lambda x: F.floor(x * F.lit(float(scale))).cast("long"))
-    base = saved(vectors(rows, key, column, zero_counts=True).select("id", whole.alias("v")), "whole")
+    base = saved(vectors(rows, key, column, zero_counts=True).select("row", "id", whole.alias("v")), "whole")
     asked = base.where(is_query)
-    trees = saved(shards(base, base.count(), per_shard, build), "trees")
-    groups = saved(blocks(asked, asked.count(), per_block), "blocks")
-    # One shard for each length of vector gives the first floors.
-    pilot = trees.where(F.col("shard") == trees.agg(F.min("shard")).first()[0])
-    early = saved(met(pilot, groups, _searcher(k), "long"), "early")
-    kth = (
-        ranked(early, k).where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("floor"))
-    )
+    n, n_asked = shard_count(base.count(), per_shard), asked.count()
+    n_blocks = -(-n_asked // per_block)
+    trees = saved(shards(base, n, build), "trees")
+    groups = saved(blocks(asked, n_asked, per_block), "blocks")
+    # Some of the shards give the first floors.
+    pilots = -(-n // PILOT)
+    early = saved(met(trees, groups, (0, pilots), n_blocks, _searcher(k), "long"), "early")
+    if pilots == n:
+        return ranked(early, k).drop("query")
+    kth = ranked(early, k).where(F.col("rank") == k).select(F.col("query").alias("row"), F.col("score").alias("floor"))
     floored = saved(
-        groups.select("block", "size", F.posexplode("ids").alias("at", "id"))
-        .join(kth, "id", "left")
+        groups.select("block", "size", F.posexplode("rows").alias("at", "row"))
+        .join(kth, "row", "left")
         .groupBy("block", "size")
         .agg(F.array_sort(F.collect_list(F.struct("at", F.coalesce("floor", F.lit(NONE)).alias("floor")))).alias("f"))
         .select("block", "size", F.col("f.floor").alias("floors"))
         .join(groups, ["block", "size"]),
         "floors",
     )
-    rest = trees.join(pilot.select("shard"), "shard", "left_anti")
-    late = met(rest, floored, _searcher(k), "long")
-    return ranked(early.unionByName(late), k)
+    late = met(trees, floored, (pilots, n), n_blocks, _searcher(k), "long")
+    return ranked(early.unionByName(late), k).drop("query")
 
 
 def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,9 +15,9 @@ the original vectors in double precision.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite
 components take no part, nor do rows without id; vectors meet only those of the
-same length; equal scores go to the smaller id; copies under other ids are
-candidates, and each is indexed; of repeated ids one row counts, that with the
-least vector; an empty table gives no rows. Other columns are ignored.
+same length; equal scores go to the smaller id; copies are candidates, and each is
+indexed; rows of one id are rows like others, each a query and a candidate of all
+but itself; an empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from salesmill.llm.base import read, saved
 from salesmill.llm.hashing import mixed
-from salesmill.llm.vectors import blocks, dumped, loaded, met, ranked, shards, vectors
+from salesmill.llm.vectors import blocks, dumped, loaded, met, ranked, shard_count, shards, vectors
 
 K = 20
 SHARD = 8192
@@ -254,9 +254,11 @@ def nearest(
     """(query_id, rank, vec_id, score) of the nearest found; ``is_query`` is on ``id``."""
     base = saved(vectors(rows, key, column, zero_counts=False), "vectors")
     asked = base.where(is_query)
-    graphs = saved(shards(base, base.count(), per_shard, build), "graphs")
-    groups = blocks(asked, asked.count(), per_block)
-    return ranked(met(graphs, groups, _searcher(k, beam), "double"), k)
+    n, n_asked = shard_count(base.count(), per_shard), asked.count()
+    graphs = saved(shards(base, n, build), "graphs")
+    groups = blocks(asked, n_asked, per_block)
+    found = met(graphs, groups, (0, n), -(-n_asked // per_block), _searcher(k, beam), "double")
+    return ranked(found, k).drop("query")
 
 
 def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
