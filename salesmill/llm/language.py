@@ -4,8 +4,8 @@ A text is cut into windows of ``WINDOW`` bytes. Filters of two, three and four
 bytes run over a window, each keeps its largest response, and a softmax over
 these gives the window's probabilities. A text's are the mean of its windows'
 log-probabilities, weighted by their bytes. The network is trained in numpy on a
-sample of labelled texts of at most ``SAMPLE`` rows, with windows from anywhere
-in them; it is applied to all windows of all texts. As the input is one byte of
+sample of about ``SAMPLE`` labelled texts, the same share for each language and all
+of a language that has fewer, with windows from anywhere in them; it is applied to all windows of all texts. As the input is one byte of
 256 at each place, a filter is a sum of table rows, and its first layer runs as
 look-ups of byte pairs.
 
@@ -17,6 +17,7 @@ alike; an empty table gives no rows. Other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +31,7 @@ UNKNOWN = "und"
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 16  # per width
-SAMPLE = 2000  # labelled texts the network learns from
+SAMPLE = 2000  # labelled texts the network learns from, over all languages
 STEPS = 400
 BATCH = 64
 BATCH_BYTES = 2 << 20
@@ -138,9 +139,14 @@ def log_probabilities(net: Network, tables: tuple, windows: np.ndarray) -> np.nd
 def trained(docs: DataFrame, sample: int = SAMPLE) -> Network | None:
     """A network that learned from a sample of the labelled rows not held out."""
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
-    n = rows.count()
-    part = min(1.0, sample / max(1, n))
-    chosen = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < int(part * (1 << 30))
+    # The network has an output for each language, so these are few.
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    if not counts:
+        return None
+    quota = max(1, sample // len(counts))
+    limits = [(lang, math.ceil(min(1.0, quota / n) * (1 << 30))) for lang, n in sorted(counts.items())]
+    limit = F.create_map(*(F.lit(x) for pair in limits for x in pair))[F.col("lang")]
+    chosen = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < limit
     found = rows.where(chosen).select("lang", "text", F.xxhash64("doc_id", "text").alias("h"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -34,6 +34,15 @@ def test_language_of_held_out_texts(spark):
     assert len(got) == 306 and all(0 <= r["score"] <= 1 for r in got)
 
 
+def test_a_rare_language_is_learned(spark):
+    """Each language has its share of the sample, so one in a few hundred rows is known, too."""
+    rows = [(i, lines("aa" if i % 2 else "bb", i, 4), "aa" if i % 2 else "bb") for i in range(3000)]
+    rows += [(3000 + i, lines("cc", i, 4), "cc") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language.identified(docs, sample=60).where("lang = 'cc'").collect()
+    assert sum(r["lang_pred"] == "cc" for r in got) >= 10
+
+
 def test_language_without_anything_to_learn(spark):
     docs = spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string")
     assert language.identified(docs).first()["lang_pred"] == "und"
