@@ -2,15 +2,17 @@
 
 A text is cut into words, each with the white space before it; no piece crosses
 such a cut. Distinct words of one length advance together through a Viterbi
-lattice in numpy: at each end position, every piece length is tried, the hashes of
-the substrings probe the sorted hashes of the pieces, and the best predecessor
-of each word is stored as a backpointer by a maximum over the lengths.
+lattice in numpy: the hashes of all their substrings probe the sorted hashes of the
+pieces, and at each end position the best predecessor of each word is stored as a
+backpointer by a maximum over the lengths.
 
 For a unigram model the value of a path is the sum of its pieces' scores. For a
 merge (BPE) model, as the public vocabulary is, the pieces of every prefix of a
 word are fixed, and a piece may follow another exactly if the merges would leave
 both apart. So a path's value is 0 or minus infinity, the test of two neighbours
 walks both down their own last merges, and the lattice gives the library's ids.
+Blanks beyond one before a word are merged last and from the left, so a run of them
+is the longest piece of blanks over and over, then the rest.
 
 Characters without a piece become byte pieces. Decoding joins the pieces, turns
 byte pieces to bytes and drops the space put in front.
@@ -42,7 +44,11 @@ LONGEST = 64  # longer words are seldom seen twice
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
 BATCH_BYTES = 2 << 20
+ANSWER_BITS = 21  # of the table of remembered answers
+SLOT_BITS = 20  # of the table that leaves out most substrings before the search
+LATTICE = 1 << 17  # places of a lattice at a time
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_MIX = np.uint64(0xD6E8FEB86659FD93)
 
 
 def _hashes(codes: np.ndarray) -> np.ndarray:
@@ -53,6 +59,10 @@ def _hashes(codes: np.ndarray) -> np.ndarray:
     return h
 
 
+def _slot(h: np.ndarray) -> np.ndarray:
+    return (h * _MIX >> np.uint64(64 - SLOT_BITS)).astype(np.intp)
+
+
 class Model:
     """Pieces of a model file, sorted by hash."""
 
@@ -92,11 +102,32 @@ class Model:
         self.sorted_keys, self.sorted_ids = keys[order], order
         if len(np.unique(self.sorted_keys)) != len(order):
             raise ValueError("two pieces share a hash")
+        self.maybe = np.zeros(1 << SLOT_BITS, bool)
+        self.maybe[_slot(self.sorted_keys)] = True
+        self.lowest = self.scores[usable].min() - 10
         self.powers = np.multiply.accumulate(np.array([1] + [int(_BASE)] * (self.longest * 2), np.uint64))
         self.known = {self.pieces[i]: int(i) for i in usable}
         self.remembered: dict[str, bytes] = {}
         if self.kind == BPE:
             self._splits()
+        self.answers = np.full(1 << ANSWER_BITS if self.kind == BPE else 0, -1, np.int64)
+        self.blank = self._blank()
+
+    def _blank(self) -> int:
+        """Length of the longest piece of blanks, if these have one score below all others; else 0."""
+        runs = {len(p): i for p, i in self.known.items() if p == SPACE * len(p)}
+        several = [i for n, i in runs.items() if n > 1]
+        others = [i for i in self.known.values() if i not in runs.values() and self.lengths[i] > 1]
+        most = max(runs, default=0)
+        fits = (
+            self.kind == BPE
+            and 1 in runs
+            and len(several) > 0
+            and len({self.scores[i] for i in several}) == 1
+            and self.scores[several[0]] < self.scores[others].min()
+            and self.merged(SPACE * most) == [SPACE * most]
+        )
+        return most if fits else 0
 
     def probe(self, h: np.ndarray) -> np.ndarray:
         """The piece of each hash, -1 without one."""
@@ -155,6 +186,37 @@ class Model:
             open_ = open_[can_x | can_y]
         return out
 
+    def beside(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """As ``apart``; answers are remembered, one for each place of a table of fixed size."""
+        pair = a * len(self.pieces) + b
+        place = (pair.astype(np.uint64) * _MIX >> np.uint64(64 - ANSWER_BITS)).astype(np.intp)
+        kept = self.answers[place]
+        out = (kept & 1).astype(bool)
+        new = np.flatnonzero(kept >> 1 != pair)
+        if len(new):
+            asked, which = np.unique(pair[new], return_inverse=True)
+            out[new] = self.apart(asked // len(self.pieces), asked % len(self.pieces))[which]
+            self.answers[place[new]] = pair[new] * 2 + out[new]
+        return out
+
+    def candidates(self, prefix: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(end, word, length, piece) of all substrings that are pieces, by end; single characters always.
+
+        ``prefix`` has the hashes of the words' beginnings, a row for each length.
+        """
+        found = []
+        for length in range(1, min(len(prefix) - 1, self.longest) + 1):
+            h = prefix[length:] - prefix[:-length] * self.powers[length]
+            at, word = np.nonzero(self.maybe[_slot(h)]) if length > 1 else map(np.ravel, np.indices(h.shape))
+            piece = self.probe(h[at, word])
+            if length > 1:
+                hit = np.flatnonzero(piece >= 0)
+                at, word, piece = at[hit], word[hit], piece[hit]
+            found.append((at + length, word, np.full(len(at), length), piece))
+        parts = [np.concatenate(part) for part in zip(*found)]
+        order = np.argsort(parts[0], kind="stable")
+        return tuple(part[order] for part in parts)
+
     def lattice(self, words: list[str]) -> list[np.ndarray]:
         """Ids of words of one length."""
         n, size = len(words), len(words[0])
@@ -166,54 +228,79 @@ class Model:
         value[0] = 0
         piece = np.full((size + 1, n), -1)
         back = np.zeros((size + 1, n), np.int64)
+        ends, rows, lengths, pieces = self.candidates(prefix)
+        edges = np.searchsorted(ends, np.arange(1, size + 2))
         for end in range(1, size + 1):
-            for length in range(1, min(end, self.longest) + 1):
-                h = prefix[end] - prefix[end - length] * self.powers[length]
-                found = self.probe(h)
-                rows = np.flatnonzero(((found >= 0) | (length == 1)) & (value[end - length] > -np.inf))
-                if not len(rows):
-                    continue
-                one = found[rows]
-                if self.kind == BPE:
-                    gain = np.zeros(len(rows))
-                    before = piece[end - length][rows]
-                    pair = np.flatnonzero((before >= 0) & (one >= 0))
-                    gain[pair[~self.apart(before[pair], one[pair])]] = -np.inf
-                else:
-                    lowest = self.scores[self.sorted_ids].min() - 10
-                    gain = np.where(one >= 0, self.scores[np.maximum(one, 0)], lowest)
-                new = value[end - length][rows] + gain
-                better = new > value[end][rows]
-                rows = rows[better]
-                value[end][rows], piece[end][rows], back[end][rows] = new[better], one[better], length
-        return [self._path(words[i], piece[:, i], back[:, i]) for i in range(n)]
-
-    def _path(self, word: str, piece: np.ndarray, back: np.ndarray) -> np.ndarray:
-        at, out = len(word), []
-        while at > 0:
-            if piece[at] >= 0:
-                out.append([int(piece[at])])
+            span = slice(edges[end - 1], edges[end])
+            row, length, one = rows[span], lengths[span], pieces[span]
+            new = value[end - length, row]
+            if self.kind == BPE:
+                before = piece[end - length, row]
+                pair = np.flatnonzero((before >= 0) & (one >= 0) & (new > -np.inf))
+                new[pair[~self.beside(before[pair], one[pair])]] = -np.inf
             else:
-                out.append(self.bytes[list(word[at - 1].encode())].tolist())
-            at -= int(back[at])
-        return np.array([i for part in reversed(out) for i in part], "<u4")
+                new += np.where(one >= 0, self.scores[one], self.lowest)
+            # The best comes last for each word, of equals the shortest, and is what stays.
+            order = np.lexsort((-length, new))
+            order = order[new[order] > -np.inf]
+            row = row[order]
+            value[end, row], piece[end, row], back[end, row] = new[order], one[order], length[order]
+        return self._paths(codes, piece, back)
+
+    def _paths(self, codes: np.ndarray, piece: np.ndarray, back: np.ndarray) -> list[np.ndarray]:
+        """All words followed back from their ends at once."""
+        n, size = codes.shape
+        at, live, steps = np.full(n, size), np.arange(n), []
+        while len(live):
+            steps.append((live, at[live]))
+            at[live] -= back[at[live], live]
+            live = live[at[live] > 0]
+        who, place = (np.concatenate(part) for part in zip(*steps))
+        order = np.lexsort((place, who))
+        who, place = who[order], place[order]
+        ids = piece[place, who]
+        counts = np.ones(len(ids), np.int64)
+        spelled = {int(i): self.bytes[list(chr(codes[who[i], place[i] - 1]).encode())] for i in np.flatnonzero(ids < 0)}
+        for i, own in spelled.items():
+            counts[i] = len(own)
+        starts = np.concatenate([[0], np.cumsum(counts)])
+        flat = np.repeat(ids, counts).astype("<u4")
+        for i, own in spelled.items():
+            flat[starts[i] : starts[i + 1]] = own
+        cuts = starts[np.searchsorted(who, np.arange(n + 1))].tolist()
+        return [flat[s:e] for s, e in zip(cuts[:-1], cuts[1:])]
+
+    def blanks(self, n: int) -> list[int]:
+        """Ids of n blanks: equal scores merge from the left, so the longest piece comes first and again."""
+        whole, left = divmod(n, self.blank)
+        rest = self.merged(SPACE * left) if left else []
+        return [self.known[SPACE * self.blank]] * whole + [self.known[p] for p in rest]
 
     def words(self, words: list[str]) -> dict[str, bytes]:
         """Ids of distinct words."""
-        out, by_size = {}, {}
+        out: dict[str, bytes] = {}
+        by_size: dict[int, set[str]] = {}
+        spaced = []
         for word in words:
-            if self.kind == BPE and word.startswith(SPACE * 2):
-                # Pieces of spaces share one rank, so their order is by place.
-                ids = [self.known.get(p, -1) for p in self.merged(word)]
-                parts = self.merged(word)
-                flat = [[i] if i >= 0 else self.bytes[list(p.encode())].tolist() for i, p in zip(ids, parts)]
-                out[word] = np.array([i for part in flat for i in part], "<u4").tobytes()
-            else:
-                by_size.setdefault(len(word), []).append(word)
-        for same in by_size.values():
-            for s in range(0, len(same), 4096):
-                some = same[s : s + 4096]
+            if self.blank and word.startswith(SPACE * 2):
+                # Blanks merge after all else: the word with one of them comes out as it would alone.
+                tail = word.lstrip(SPACE)
+                spaced.append((word, len(word) - len(tail), SPACE + tail if tail else ""))
+                word = spaced[-1][2]
+            if word:
+                by_size.setdefault(len(word), set()).add(word)
+        for size, distinct in by_size.items():
+            same, step = list(distinct), max(1, min(4096, LATTICE // size))
+            for s in range(0, len(same), step):
+                some = same[s : s + step]
                 out.update((w, ids.tobytes()) for w, ids in zip(some, self.lattice(some)))
+        for word, n, alone in spaced:
+            ids = np.frombuffer(out[alone] if alone else b"", "<u4")
+            if len(ids) and ids[0] == self.known[SPACE]:
+                ids = ids[1:]
+            elif len(ids):
+                n -= 1
+            out[word] = np.concatenate([self.blanks(n), ids]).astype("<u4").tobytes()
         return out
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:

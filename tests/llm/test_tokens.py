@@ -174,3 +174,29 @@ def test_sentencepiece_frames(documents):
     back = sentence_pieces.decoded(sentence_pieces.encoded(docs)).collect()
     assert sorted(map(tuple, back), key=repr) == sorted([(1, "a b"), (2, ""), (None, ""), (3, "word" * 500)], key=repr)
     assert sentence_pieces.encoded(documents()).count() == 0
+
+
+def test_sentencepiece_runs_of_blanks_and_long_words_are_the_library_ones():
+    library = sentencepiece.SentencePieceProcessor(model_file=sentence_pieces.MODEL)
+    model = sentence_pieces.model()
+    draw = random.Random(7)
+    texts = [" " * n + tail for n in range(1, 80) for tail in ("", "foo", "é", "😀x", "foo  bar")]
+    texts += [" " * 100_000, "x" + " " * 50_001 + "y", "".join(draw.choices("abcdefgh+/=ABCDEF019", k=20_000))]
+    texts += ["aab" * 5_000, "一二三四五六七" * 500]
+    got = model.encode(texts)
+    assert [g.tolist() for g in got] == library.encode(texts, num_threads=1)
+    assert [model.decode(g) for g in got] == texts
+
+
+def test_pair_answers_do_not_depend_on_what_was_asked_before():
+    model = sentence_pieces.Model(sentence_pieces.MODEL)
+    draw = np.random.default_rng(3)
+    usable = np.array(sorted(model.known.values()))
+    for _ in range(3):
+        a, b = draw.choice(usable[:300], 20_000), draw.choice(usable[:300], 20_000)
+        assert (model.beside(a, b) == model.apart(a, b)).all()
+
+
+def test_repeated_rows_are_encoded_alike(documents):
+    rows = sentence_pieces.encoded(documents((1, "some  words"), (1, "some  words"), (2, "some  words"))).collect()
+    assert len(rows) == 3 and len({tuple(r["ids"]) for r in rows}) == 1
