@@ -275,3 +275,28 @@ def test_a_merge_that_dies_anywhere_is_finished(spark, history, monkeypatch, cal
 def test_schemas_agree():
     assert STORED_SCHEMA.names == [*HISTORY_SCHEMA.names, "load_id"]
     assert set(SUMMARY_KEYS) <= set(SALES_COLUMNS)
+
+
+def test_large_appends_and_merges_shuffle_nothing(spark, history, monkeypatch):
+    from conftest import shuffled_rows
+
+    from salesmill.sources import sales_table as stored
+
+    table = history
+    merged, written = merging._new_rows, []
+
+    def watched(*args):
+        written.append(merged(*args))
+        return written[-1]
+
+    monkeypatch.setattr(merging, "_new_rows", watched)
+    before = rows(sales_table(spark, table), "company_name", "invoice_id", "batch_id")
+    assert merge_history(spark, table, ["a", "b=%c"], lambda _: True, at_least=2)
+    assert rows(sales_table(spark, table), "company_name", "invoice_id", "batch_id") == before
+    monkeypatch.setattr(stored, "_replace", lambda frame, *_: written.append(frame))
+    more = sales(spark, *[("a", str(n)) for n in range(100)])
+    append_sales(more, table, "large", spread=False)
+    append_sales(more, table, "small")
+    assert shuffled_rows(written[1]) == []
+    assert len(shuffled_rows(written[2])) == 1
+    assert "Exchange" not in written[0]._jdf.queryExecution().executedPlan().toString()
