@@ -1,12 +1,14 @@
 """Drop files to history, reports, archive and alerts."""
 
+import gzip
 import os
 import pathlib
 
 import pytest
-from conftest import drop, line, rows
+from conftest import LINE, drop, line, rows, shuffled_rows
 
 from salesmill import read_drop, run_ingest, sales_table
+from salesmill.plans import standin
 from salesmill.schema import REPORTS
 from salesmill.sources.files import move_files
 from salesmill.sources.totals import running_totals
@@ -239,3 +241,74 @@ def test_large_loads_ask_the_filters(spark, layout, monkeypatch):
         run_ingest(spark, layout, reports=False)
     found = [("a", str(i), 7) for i in range(80)] + [("b", str(i), 7) for i in range(5)]
     assert history(spark, layout) == sorted(found, key=repr)
+
+
+def test_gzipped_files(spark, layout):
+    """Loaded as others are, archived or rejected as they came."""
+    for name, quantity in (("1.csv", "2"), ("2.csv", "x")):
+        drop(layout, "a", name, line(invoice_id=name, quantity=quantity))
+        plain = pathlib.Path(layout.drop, "a", name)
+        pathlib.Path(f"{plain}.gz").write_bytes(gzip.compress(plain.read_bytes()))
+        plain.unlink()
+    drop(layout, "a", "3.csv", line(invoice_id="3"))
+    run_ingest(spark, layout)
+    assert history(spark, layout) == [("a", "1.csv", 2), ("a", "3", 7)]
+    assert len(files(layout.archive)) == 1 and not files(layout.rejected)
+    assert len([*pathlib.Path(layout.archive).rglob("*.csv.gz")]) == 1
+    assert [p.name for p in pathlib.Path(layout.rejected).rglob("*.csv.gz")] == ["2.csv.gz"]
+
+
+def test_a_large_load_is_written_as_it_was_read(spark, layout, monkeypatch):
+    spreads = []
+
+    def watched(rows, table, batch_id, spread=True):
+        spreads.append(spread)
+        append_sales(rows, table, batch_id, spread)
+
+    append_sales = ingest.append_sales
+    monkeypatch.setattr(ingest, "append_sales", watched)
+    monkeypatch.setattr(ingest, "UNSPREAD_ROWS", 3)
+    drop(layout, "a", "1.csv", *(line(invoice_id=str(i)) for i in range(5)))
+    drop(layout, "b", "1.csv", line(invoice_id="1"))
+    run_ingest(spark, layout)
+    drop(layout, "a", "2.csv", *(line(invoice_id=str(i)) for i in range(4, 6)))
+    run_ingest(spark, layout)
+    assert spreads == [False, True]
+    assert history(spark, layout) == [*(("a", str(i), 7) for i in range(6)), ("b", "1", 7)]
+
+
+def test_stand_in_files_shuffle_a_row_once_as_a_line(spark, tmp_path, monkeypatch):
+    made = [{**LINE, "company_name": c, "invoice_id": f"{o}-{n}"} for c in "ab" for o in range(20) for n in (1, 2, 3)]
+    frame = spark.createDataFrame(made).select("company_name", *LINE)
+    seen, write = [], standin._write_lines
+
+    def watched(rows, *args):
+        seen.append(shuffled_rows(rows))
+        write(rows, *args)
+
+    monkeypatch.setattr(standin, "_write_lines", watched)
+    monkeypatch.setattr(standin, "CONTESTED_SALES", 40)
+    standin.write_drop_files(frame, f"{tmp_path}/drop", f"{tmp_path}/s0")
+    standin.write_contested_files(frame, f"{tmp_path}/more", f"{tmp_path}/s1")
+    assert seen[0] == [(3, 120)]
+    assert [n for width, n in seen[1] if width > 4] == [120]
+    dropped = standin_rows(spark, f"{tmp_path}/drop")
+    assert dropped == sorted((r["company_name"], r["invoice_id"], "7") for r in made)
+    parts = {p: standin_rows(spark, f"{tmp_path}/more", f"{p}-*.csv.gz") for p in range(3)}
+    odd = [not i.endswith("-2") for _, i, _ in dropped]
+    assert parts[0] == [r for r, o in zip(dropped, odd) if not o]
+    assert parts[2] == [r if o else (*r[:2], "107") for r, o in zip(dropped, odd)]
+    assert [r[:2] for r in parts[1]] == [r[:2] for r, o in zip(dropped, odd) if o]
+    for file in pathlib.Path(tmp_path, "more").rglob("1-*.csv.gz"):
+        assert gzip.decompress(file.read_bytes()).count(b",many,") == 1
+
+
+def standin_rows(spark, folder, pattern="*.csv.gz"):
+    """Company, invoice and quantity of the files of a folder."""
+    found = []
+    for file in pathlib.Path(folder).rglob(pattern):
+        head, *lines = gzip.decompress(file.read_bytes()).decode().splitlines()
+        assert head == ",".join(LINE)
+        fields = [dict(zip(LINE, text.split(","), strict=True)) for text in lines]
+        found += [(file.parent.name, f["invoice_id"], f["quantity"]) for f in fields]
+    return sorted(found)
