@@ -59,6 +59,15 @@ def spans(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int =
     return mixed((prefix[ends] - prefix[starts]) * down[starts])
 
 
+def all_spans(prefix: np.ndarray, width: int, which: int = 0) -> np.ndarray:
+    """``spans`` of all substrings of a width."""
+    n = len(prefix) - width
+    _, down = POWERS[which].upto(len(prefix))
+    out = prefix[width:] - prefix[:-width]
+    out *= down[:n]
+    return mixed(out)
+
+
 class Table:
     """From 128-bit keys to runs of numbers in one pool; open addressing."""
 

@@ -16,10 +16,11 @@ them lie in the range's context. Ranges are gathered by their core:
 - ranges of a core with more are cut in two. Each half has a longer core, so
   groups fall apart, and after eight rounds cores are the strings themselves.
 
-*In a shard* the suffixes of its contexts are sorted by Larsson-Sadakane
-refinement: by eight bytes first, then, only within groups not yet told apart, by
-the rank of what follows. Common prefixes of neighbours come by Kasai's rule, all
-contexts in step. Where neighbours share ``LENGTH`` bytes and lie at different
+*In a shard* contexts are cut down to what they may share with another one of
+their core: the suffixes behind the cores are sorted, and those before them
+backwards, and each context is compared with its neighbours. Then the suffixes of
+what is left are sorted by induction, from one offset to the one before it. Common
+prefixes of neighbours come by Kasai's rule, all contexts in step. Where neighbours share ``LENGTH`` bytes and lie at different
 places of the corpus, both strings go. Suffix arrays of arbitrary shards would
 have to be merged pairwise, which grows with the square of their number; here
 equal strings are in one shard already, so no suffix is looked up in another one.
@@ -57,14 +58,15 @@ from salesmill.llm.base import (
     small_batches,
     texts_of,
 )
-from salesmill.llm.hashing import mixed, prefixes, spans
+from salesmill.llm.hashing import all_spans, mixed, prefixes, spans
 
 LENGTH = 200
 CORE = 64
 SHARD = 128  # different contexts of one core in a shard
-SHARD_BYTES = 1 << 18  # contexts sorted together, so that their arrays stay in the cache
+SHARD_BYTES = 1 << 20  # contexts sorted together
 BODIES = 4096  # ranges that leave a text together
 BATCH_BYTES = 1 << 20
+FINDER_BYTES = 1 << 17  # texts hashed together, so that their arrays stay in the cache
 
 # Strings that start from ``low`` to ``high`` in the text ``k`` and hold the same
 # anchor, at ``place``; ``a`` and ``b`` are the ends that the range has where no
@@ -76,6 +78,7 @@ RANGE = pa.schema(
 RANGE_SQL = "core long, context long, k long, place int, low int, high int, a int, b int"
 BODY = pa.schema([*RANGE, ("several", pa.bool_()), ("body", pa.binary())])
 BODY_SQL = f"{RANGE_SQL}, several boolean, body binary"
+CORES = pa.schema([("core", pa.int64())])
 MARK = pa.schema([("k", pa.int64()), ("start", pa.int32()), ("stop", pa.int32())])
 MARK_SQL = "k long, start int, stop int"
 
@@ -95,8 +98,8 @@ def anchors(data: np.ndarray, edges: np.ndarray, prefix: np.ndarray) -> np.ndarr
     """Places of the anchors of all strings of ``LENGTH`` bytes that lie within one text."""
     if len(data) < LENGTH:
         return np.zeros(0, np.int64)
-    starts = np.arange(len(data) - CORE + 1)
-    h = spans(prefix, starts, starts + CORE)
+    # 32 bits choose: neighbours with equal ones are both anchors, in all equal strings alike.
+    h = (all_spans(prefix, CORE) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
     window = LENGTH - CORE + 1
     low = _sliding(h, window, np.minimum)
     # Strings that cross into the next text choose nothing.
@@ -107,42 +110,46 @@ def anchors(data: np.ndarray, edges: np.ndarray, prefix: np.ndarray) -> np.ndarr
     np.add.at(inside, (edges[1:] - LENGTH + 1)[long], -1)
     real = np.cumsum(inside)[: len(low)] > 0
     low[~real] = 0
-    pad = np.zeros(window - 1, np.uint64)
+    pad = np.zeros(window - 1, np.uint32)
     most = _sliding(np.concatenate([pad, low, pad]), window, np.maximum)
     # A place is the smallest of some string if the largest minimum around is its own.
-    return np.flatnonzero((most == h) & (h > 0))
+    return np.flatnonzero(most == h)
 
 
-def _keys(data: np.ndarray, prefix: np.ndarray, place, low, high, a, b) -> dict[str, np.ndarray]:
-    """Hashes of cores and contexts of ranges given by places in ``data``.
-
-    What a range is in itself is part of the core's hash, and how the text cuts it
-    is part of the context's.
-    """
+def _cores(prefix: np.ndarray, place, a, b) -> np.ndarray:
+    """Hashes of the cores of ranges, of which what a range is in itself is a part."""
     core = spans(prefix, place + b, place + a + LENGTH) ^ mixed((a * -512 - b).astype(np.uint64))
+    return core.view(np.int64)
+
+
+def _contexts(data: np.ndarray, place, low, high) -> np.ndarray:
+    """Hashes of the contexts of ranges, of which how the text cuts them is a part."""
     cut = (place - low) * 1024 + (high - place) + 512
     context = spans(prefixes(data, 1), low, high + LENGTH, 1) ^ mixed(cut.astype(np.uint64))
-    return {"core": core.view(np.int64), "context": context.view(np.int64)}
+    return context.view(np.int64)
 
 
 def _finder(keep):
-    """Ranges of all anchors; with a filter, only of cores it may hold."""
+    """Cores of all anchors; with a filter, ranges of the cores it may hold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", BATCH_BYTES):
+        for batch in slices(batches, "text", FINDER_BYTES):
             data, edges = concatenated(texts_of(batch.column("text")))
             prefix = prefixes(data)
             place = anchors(data, edges, prefix)
+            a, b = np.full(len(place), CORE - LENGTH), np.zeros(len(place), np.int64)
+            core = _cores(prefix, place, a, b)
+            if keep is None:
+                yield arrow_batch(CORES, {"core": core})
+                continue
+            some = np.flatnonzero(keep.value.may_hold(core))
+            core, place, a, b = core[some], place[some], a[some], b[some]
             text = np.searchsorted(edges, place, side="right") - 1
             start = edges[text]
-            a, b = np.full(len(place), CORE - LENGTH), np.zeros(len(place), np.int64)
             low, high = np.maximum(place + a, start), np.minimum(place, edges[text + 1] - LENGTH)
-            rows = _keys(data, prefix, place, low, high, a, b)
+            rows = {"core": core, "context": _contexts(data, place, low, high)}
             rows |= {"place": place - start, "low": low - start, "high": high - start, "a": a, "b": b}
             rows["k"] = batch.column("k").to_numpy()[text]
-            if keep is not None:
-                some = keep.value.may_hold(rows["core"])
-                rows = {n: c[some] for n, c in rows.items()}
             yield arrow_batch(RANGE, rows)
 
     return run
@@ -150,11 +157,12 @@ def _finder(keep):
 
 def words_at(data: np.ndarray) -> np.ndarray:
     """The eight bytes from each place on as one number that sorts like them."""
-    padded = np.concatenate([data, np.zeros(8, np.uint8)])
-    key = np.zeros(len(data), np.uint64)
+    n = len(data)
+    padded = np.concatenate([data, np.zeros(16, np.uint8)])
+    key = np.empty(-(-n // 8) * 8, np.uint64)
     for j in range(8):
-        key = key << np.uint64(8) | padded[j : j + len(data)]
-    return key
+        key[j::8] = np.frombuffer(padded, ">u8", len(key) // 8, j)
+    return key[:n]
 
 
 def sorted_suffixes(key: np.ndarray) -> np.ndarray:
@@ -199,20 +207,28 @@ def equal_bytes(one: np.ndarray, other: np.ndarray) -> np.ndarray:
     return (64 - np.frexp(differ.astype(np.float64))[1]) >> 3
 
 
-def common_prefixes(key: np.ndarray, edges: np.ndarray, order: np.ndarray, limit: int) -> np.ndarray:
+def common_prefixes(
+    key: np.ndarray, edges: np.ndarray, order: np.ndarray, limit: int, sizes=None, alone=None
+) -> np.ndarray:
     """Bytes, up to ``limit``, that each suffix of the order shares with the one before it.
 
     By Kasai's rule, a suffix shares at least one byte less than the suffix one
-    place before it; the first places of all contexts are taken together, then the
-    second ones, and so on.
+    place before it, if the place after its neighbour is in the order, too; the
+    first places of all contexts are taken together, then the second ones, and so on.
+    The order may hold the first ``sizes`` places of each context only, and may start
+    anew where ``alone`` says so: nothing is shared there.
     """
     n = len(key)
     before = np.full(n, -1, np.int64)  # the neighbour of each suffix
     before[order[1:]] = order[:-1]
+    if alone is not None:
+        before[order[alone]] = -1
+    held = np.zeros(n + 1, bool)
+    held[order] = True
     room = np.minimum(n - np.maximum(np.arange(n), before), limit)
     room[before < 0] = 0
     shared = np.zeros(n, np.int64)
-    sizes = np.diff(edges)
+    sizes = np.diff(edges) if sizes is None else sizes
     # The contexts that still go on are the first ones in order of size.
     by_size = np.argsort(-sizes, kind="stable")
     starts = edges[:-1][by_size]
@@ -222,6 +238,8 @@ def common_prefixes(key: np.ndarray, edges: np.ndarray, order: np.ndarray, limit
         i = starts[:m] + j
         most = room[i]
         h = np.minimum(np.maximum(have[:m] - 1, 0), most)
+        if j:
+            h[~held[before[i - 1] + 1]] = 0
         on = np.flatnonzero(h < most)
         while len(on):
             here = i[on]
@@ -233,27 +251,51 @@ def common_prefixes(key: np.ndarray, edges: np.ndarray, order: np.ndarray, limit
         np.minimum(h, most, out=h)
         shared[i] = h
         have[:m] = h
-    out = np.zeros(n, np.int64)
-    out[1:] = shared[order[1:]]
+    out = shared[order]
+    out[:1] = 0
     return out
 
 
-def repeated(bodies: list[bytes], place: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def column_order(data: np.ndarray, edges: np.ndarray, sizes: np.ndarray, core, anchor, a, b):
+    """The first ``sizes`` places of contexts, in order within each core and offset from the anchor, and where these begin.
+
+    Equal strings hold their anchor at the same offset, so suffixes at other offsets
+    need no order between them. Cores are equal within; so the suffixes from the first
+    places of the cores are in the order of those from the cores' ends. The order one
+    place to the left is induced: it is that of its bytes and, where they are equal,
+    the order found before.
+    """
+    start, stop = edges[:-1], edges[:-1] + sizes
+    _, group = np.unique(core, return_inverse=True)
+    group = group.astype(np.uint16 if len(group) < 1 << 16 else np.uint32)
+    order = np.lexsort([*_words_from(data, anchor + a + LENGTH, a, b)[::-1], group])
+    found, alone = [np.zeros(0, np.int64)], [np.zeros(0, bool)]
+    for j in range(int((b - a).max(initial=-1)) + 1):
+        at = anchor + b - j
+        order = order[at[order] >= start[order]]
+        if j:
+            order = order[np.argsort(data[at[order]], kind="stable")]
+            order = order[np.argsort(group[order], kind="stable")]
+        member = order[at[order] < stop[order]]
+        found.append(at[member])
+        alone.append(np.diff(group[member].astype(np.int64), prepend=-1) != 0)
+    return np.concatenate(found), np.concatenate(alone)
+
+
+def repeated(bodies: list[bytes], text: np.ndarray, core, place, low, a, b) -> tuple[np.ndarray, np.ndarray]:
     """Contexts and offsets of strings that also start at another place of the corpus.
 
-    A context is the bytes from ``low`` on of the text numbered ``place``.
+    A context is the bytes from ``low`` on of the text numbered ``text``.
     """
     data, edges = concatenated(bodies)
-    key = words_at(data)
-    order = sorted_suffixes(key)
-    run = np.cumsum(common_prefixes(key, edges, order, LENGTH) < LENGTH)
     owner = np.repeat(np.arange(len(bodies)), np.diff(edges))
+    sizes = np.diff(edges) - LENGTH + 1  # other suffixes leave their context
+    order, alone = column_order(data, edges, sizes, core, edges[:-1] + place - low, a, b)
     context = owner[order]
-    whole = edges[context + 1] - order >= LENGTH  # other suffixes leave their context
-    order, run, context = order[whole], run[whole], context[whole]
+    run = np.cumsum(common_prefixes(words_at(data), edges, order, LENGTH, sizes, alone) < LENGTH)
     offset = order - edges[context]
     # The same string of the corpus can lie in several contexts.
-    text, at = place[context], low[context] + offset
+    text, at = text[context], low[context] + offset
     turn = np.diff(run, prepend=-1) != 0
     other = ~turn
     other[1:] &= (text[1:] != text[:-1]) | (at[1:] != at[:-1])
@@ -263,33 +305,85 @@ def repeated(bodies: list[bytes], place: np.ndarray, low: np.ndarray) -> tuple[n
     return context[hit], offset[hit]
 
 
+def _most_shared(words: np.ndarray, core: np.ndarray) -> np.ndarray:
+    """Leading bytes that each column of words shares with the one of its core most like it, its neighbour when sorted."""
+    order = np.lexsort([*words[::-1], core])
+    one, other = words[:, order[1:]], words[:, order[:-1]]
+    differ = np.concatenate([one != other, np.ones((1, len(order) - 1), bool)])
+    at = differ.argmax(axis=0)
+    last, column = np.minimum(at, len(words) - 1), np.arange(len(order) - 1)
+    run = 8 * at + np.where(at < len(words), equal_bytes(one[last, column], other[last, column]), 0)
+    run[core[order[1:]] != core[order[:-1]]] = 0
+    most = np.zeros(len(order), np.int64)
+    most[order[1:]] = run
+    most[order[:-1]] = np.maximum(most[order[:-1]], run)
+    return most
+
+
+def _words_from(data: np.ndarray, start: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The bytes from each start on that strings may reach, in words; the first row has the first ones."""
+    steps = 8 * np.arange(max(1, -(-int((b - a).max(initial=0)) // 8)))[:, None]
+    return words_at(data)[np.minimum(start + steps, len(data) - 1)]
+
+
+def cropped(bodies: list[bytes], core: np.ndarray, place, low, a, b) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Contexts that may share a string with another one of their core, and the first and last start of such strings.
+
+    A shared string is shared to both sides of the core. So the suffixes from the
+    cores' ends are sorted, and backwards those from their starts: a context shares
+    most with a neighbour. Bytes behind a context's end can only let more pass.
+    """
+    data, edges = concatenated(bodies)
+    anchor = edges[:-1] + place - low
+    left = _most_shared(_words_from(data[::-1], len(data) - anchor - b, a, b), core)
+    right = _most_shared(_words_from(data, anchor + a + LENGTH, a, b), core)
+    first = np.maximum(low, place + b - left)
+    last = np.minimum(low + np.diff(edges) - LENGTH, place + a + right)
+    some = np.flatnonzero(first <= last)
+    return some, first[some], last[some]
+
+
 def _sharder(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Marks of the contexts of sorted rows, the rows of a core together."""
-    held: list[dict] = []
-    size = 0
-
-    def marked(rows: list[dict]) -> pa.RecordBatch:
-        texts, text = np.unique([r["k"] for r in rows], return_inverse=True)
-        low = np.array([r["low"] for r in rows])
-        context, offset = repeated([r["body"] for r in rows], text, low)
+    for table in _whole_cores(batches):
+        rows = {n: table[n].to_numpy().astype(np.int64) for n in ("core", "k", "place", "low", "a", "b")}
+        bodies = texts_of(table["body"].combine_chunks())
+        some, first, last = cropped(bodies, *(rows[n] for n in ("core", "place", "low", "a", "b")))
+        cuts = first - rows["low"][some], last - rows["low"][some] + LENGTH
+        bodies = [bodies[i][s:e] for i, s, e in zip(some.tolist(), *(c.tolist() for c in cuts))]
+        rows = {n: c[some] for n, c in rows.items()} | {"low": first}
+        texts, text = np.unique(rows["k"], return_inverse=True)
+        context, offset = repeated(bodies, text, *(rows[n] for n in ("core", "place", "low", "a", "b")))
         # Neighbouring strings of a text are one run of bytes.
-        name, start = text[context], low[context] + offset
+        name, start = text[context], first[context] + offset
         turn = np.lexsort((start, name))
         name, start = name[turn], start[turn]
         fresh = np.ones(len(name), bool)
         fresh[1:] = (name[1:] != name[:-1]) | (start[1:] > start[:-1] + LENGTH)
         last = np.append(np.flatnonzero(fresh)[1:], len(name)) - 1 if len(name) else np.zeros(0, np.int64)
-        return arrow_batch(MARK, {"k": texts[name[fresh]], "start": start[fresh], "stop": start[last] + LENGTH})
+        yield arrow_batch(MARK, {"k": texts[name[fresh]], "start": start[fresh], "stop": start[last] + LENGTH})
 
+
+def _whole_cores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Sorted rows in tables of about ``SHARD_BYTES`` or more; a core lies in one."""
+    held: list[pa.RecordBatch] = []
+    size = 0
     for batch in batches:
-        for row in batch.to_pylist():
-            if size > SHARD_BYTES and row["core"] != held[-1]["core"]:
-                yield marked(held)
-                held, size = [], 0
-            held.append(row)
-            size += len(row["body"])
+        core = batch.column("core").to_numpy()
+        turn = np.flatnonzero(core[1:] != core[:-1]) + 1
+        # The last core of what is held may go on.
+        cut = 0
+        if held and len(core) and core[0] != held[-1].column("core")[-1].as_py():
+            turn = np.append(0, turn)
+        if size > SHARD_BYTES and len(turn):
+            cut = int(turn[-1])
+            yield pa.Table.from_batches([*held, batch.slice(0, cut)])
+            held, size = [], 0
+        if cut < batch.num_rows:
+            held.append(batch.slice(cut))
+            size += batch.column("body").slice(cut).nbytes
     if held:
-        yield marked(held)
+        yield pa.Table.from_batches(held)
 
 
 def _halver(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -308,8 +402,8 @@ def _halver(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             shift = (edges[:-1] - old["low"])[some]  # from places in the text to places here
             rows = {"k": old["k"], "place": old["place"], "low": low, "high": high, "a": a, "b": b}
             rows = {n: c[some] for n, c in rows.items()}
-            here = (rows[n] + shift for n in ("place", "low", "high"))
-            rows |= _keys(data, prefix, *here, rows["a"], rows["b"])
+            place, *ends = (rows[n] + shift for n in ("place", "low", "high"))
+            rows |= {"core": _cores(prefix, place, rows["a"], rows["b"]), "context": _contexts(data, place, *ends)}
             rows["several"] = several[some]
             starts, stops = (low - old["low"])[some], (high - old["low"])[some] + LENGTH
             rows["body"] = [bodies[i][s:e] for i, s, e in zip(some.tolist(), starts.tolist(), stops.tolist())]
@@ -361,7 +455,7 @@ def marks(docs: DataFrame, shard: int = SHARD) -> DataFrame:
     """(k, start, stop) of runs of bytes to remove, of texts with a key ``k``; runs may overlap."""
     spark = docs.sparkSession
     texts = docs.select("k", "text").where(F.octet_length("text") >= LENGTH)
-    often = saved(_often(texts.mapInArrow(lean(_finder(None)), RANGE_SQL)), "cores")
+    often = saved(_often(texts.mapInArrow(lean(_finder(None)), "core long")), "cores")
     keep = spark.sparkContext.broadcast(Filter(often))
     ranges = saved(texts.mapInArrow(lean(_finder(keep)), RANGE_SQL).join(often, "core"), "ranges")
     found = []
@@ -377,17 +471,15 @@ def marks(docs: DataFrame, shard: int = SHARD) -> DataFrame:
         groups = saved(groups, "groups")
         equal = groups.where("n > 1").select("core", "context")
         fresh = ranges.where("not several") if inline else ranges
-        found.append(
-            fresh.join(equal, ["core", "context"]).select(
-                "k", F.col("low").alias("start"), (F.col("high") + LENGTH).alias("stop")
-            )
+        whole = fresh.join(equal, ["core", "context"]).select(
+            "k", F.col("low").alias("start"), (F.col("high") + LENGTH).alias("stop")
         )
         kinds = groups.groupBy("core").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
         wanted = groups.drop("n").join(kinds, "core")
         bodies = saved(wanted if inline else _bodies(docs, wanted), "bodies").select(*BODY.names, "kinds")
         small = bodies.where(F.col("kinds") <= shard).repartition(shuffle_width(spark), "core")
-        rows = small.select("core", "k", "low", "body").sortWithinPartitions("core")
-        found.append(rows.mapInArrow(lean(_sharder), MARK_SQL))
+        rows = small.select("core", "k", "place", "low", "a", "b", "body").sortWithinPartitions("core")
+        found += [whole, rows.mapInArrow(lean(_sharder), MARK_SQL)]
         large = bodies.where(F.col("kinds") > shard)
         if large.isEmpty():
             break

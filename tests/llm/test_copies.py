@@ -145,3 +145,52 @@ def test_suffixes_and_prefixes():
 def test_suffixes_of_texts_that_end_in_nul(raw):
     key = suffix_arrays.words_at(np.frombuffer(raw, np.uint8))
     assert suffix_arrays.sorted_suffixes(key).tolist() == sorted(range(len(raw)), key=lambda i: raw[i:])
+
+
+def shard(contexts):
+    """Arguments of contexts given as what is before a core, and behind it."""
+    core = b"core" * (suffix_arrays.CORE // 4)
+    bodies = [left + core + right for left, right in contexts]
+    low, n = np.arange(len(bodies)) * 1000, len(bodies)
+    a, b = np.full(n, suffix_arrays.CORE - LENGTH), np.zeros(n, np.int64)
+    return bodies, np.full(n, 7), low + [len(left) for left, _ in contexts], low, a, b
+
+
+def test_contexts_are_cut_to_what_they_may_share():
+    """Nothing of contexts that share little more than their core is sorted; of the others, a stretch."""
+    side = LENGTH - suffix_arrays.CORE
+    left, right = bytes(range(1, side + 1)), bytes(range(100, 100 + side))
+    contexts = [(b"x" * side, b"x" * side), (left, right), (b"y" * (side - 40) + left[-40:], right)]
+    some, first, last = suffix_arrays.cropped(*shard(contexts))
+    assert some.tolist() == [1, 2]
+    assert (first - [1000, 2000]).tolist() == [side - 40] * 2 and (last - [1000, 2000]).tolist() == [side] * 2
+    assert len(suffix_arrays.cropped(*shard(contexts[:2]))[0]) == 0
+
+
+def test_columns_are_in_the_order_of_all_suffixes():
+    """The induced order of each offset and the strings found, against all suffixes sorted and all strings counted."""
+    draw, side = random.Random(3), LENGTH - suffix_arrays.CORE
+    pick = lambda n: bytes(draw.choices(b"ab", k=n))
+    lefts, rights = [pick(side) for _ in range(4)], [pick(side) for _ in range(4)]
+    contexts = [(draw.choice(lefts)[draw.randrange(side) :], draw.choice(rights)) for _ in range(40)]
+    bodies, core, place, low, a, b = shard(contexts)
+    data, edges = suffix_arrays.concatenated(bodies)
+    sizes = np.diff(edges) - LENGTH + 1
+    order, alone = suffix_arrays.column_order(data, edges, sizes, core, edges[:-1] + place - low, a, b)
+    assert sorted(order.tolist()) == [p for e, n in zip(edges.tolist(), sizes.tolist()) for p in range(e, e + n)]
+    text = data.tobytes()
+    for column in np.split(order, np.flatnonzero(alone)[1:]):
+        strings = [text[p : p + LENGTH] for p in column.tolist()]
+        assert strings == sorted(strings)
+    context, offset = suffix_arrays.repeated(bodies, np.arange(40), core, place, low, a, b)
+    seen = Counter(t[i : i + LENGTH] for t in bodies for i in range(len(t) - LENGTH + 1))
+    want = {(c, i) for c, t in enumerate(bodies) for i in range(len(t) - LENGTH + 1) if seen[t[i : i + LENGTH]] > 1}
+    assert set(zip(context.tolist(), offset.tolist())) == want and want
+
+
+def test_a_shard_without_repeats_has_no_marks():
+    import pyarrow as pa
+
+    bodies, core, place, low, a, b = shard([(b"x" * 136, b"x" * 136), (b"y" * 136, b"y" * 136)])
+    rows = {"core": core, "k": low, "place": place, "low": low, "a": a, "b": b, "body": bodies}
+    assert [m.num_rows for m in suffix_arrays._sharder(iter([pa.RecordBatch.from_pydict(rows)]))] == [0]
