@@ -479,7 +479,8 @@ def marks(docs: DataFrame, shard: int = SHARD) -> DataFrame:
         bodies = saved(wanted if inline else _bodies(docs, wanted), "bodies").select(*BODY.names, "kinds")
         small = bodies.where(F.col("kinds") <= shard).repartition(shuffle_width(spark), "core")
         rows = small.select("core", "k", "place", "low", "a", "b", "body").sortWithinPartitions("core")
-        found += [whole, rows.mapInArrow(lean(_sharder), MARK_SQL)]
+        # Written round by round: all rounds in one plan would be planned and run at once.
+        found.append(saved(whole.unionByName(rows.mapInArrow(lean(_sharder), MARK_SQL)), "marks"))
         large = bodies.where(F.col("kinds") > shard)
         if large.isEmpty():
             break

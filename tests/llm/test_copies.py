@@ -147,6 +147,16 @@ def test_suffixes_of_texts_that_end_in_nul(raw):
     assert suffix_arrays.sorted_suffixes(key).tolist() == sorted(range(len(raw)), key=lambda i: raw[i:])
 
 
+def test_rounds_leave_a_small_plan(documents, prose):
+    """Each round's marks are stored: no join of any round is left to the plan of them all."""
+    base = prose(5, 100)
+    texts = [base[:i * 20] + "Z" + base[i * 20 :] for i in range(1, 12)]
+    found = suffix_arrays.marks(documents(*enumerate(texts)).withColumnRenamed("doc_id", "k"), 2)
+    assert found.count()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "MapInArrow" not in plan
+
+
 def shard(contexts):
     """Arguments of contexts given as what is before a core, and behind it."""
     core = b"core" * (suffix_arrays.CORE // 4)
