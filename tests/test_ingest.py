@@ -312,3 +312,87 @@ def standin_rows(spark, folder, pattern="*.csv.gz"):
         fields = [dict(zip(LINE, text.split(","), strict=True)) for text in lines]
         found += [(file.parent.name, f["invoice_id"], f["quantity"]) for f in fields]
     return sorted(found)
+
+
+def test_claims_are_bounded_in_bytes(spark, layout, monkeypatch):
+    """Oldest first, gzipped bytes count for more, and a file too large is claimed alone."""
+    monkeypatch.setattr(ingest, "GZIP_RATIO", 1000)
+    lines = [line(invoice_id=str(n)) for n in range(3)]
+    for n in range(6):
+        drop(layout, "a", f"{n}.csv", *lines, line(invoice_id=f"own {n}"))
+    plain = pathlib.Path(layout.drop, "a", "3.csv")
+    pathlib.Path(f"{plain}.gz").write_bytes(gzip.compress(plain.read_bytes()))
+    plain.unlink()
+    for n, path in enumerate(sorted(pathlib.Path(layout.drop, "a").iterdir())):
+        os.utime(path, (1000 + n, 1000 + n))
+    size = pathlib.Path(layout.drop, "a", "0.csv").stat().st_size
+    rounds = []
+    claim = ingest.claim_drops
+    monkeypatch.setattr(ingest, "claim_drops", lambda *a: rounds.append(claim(*a)) or rounds[-1])
+    run_ingest(spark, layout, reports=False, claim_bytes=2 * size)
+    assert rounds == [2, 1, 1, 2, 0]
+    assert history(spark, layout) == [*(("a", str(n), 7) for n in range(3)), *(("a", f"own {n}", 7) for n in range(6))]
+    assert sales_table(spark, layout.history).select("batch_id").distinct().count() == 4
+
+
+@pytest.mark.parametrize("broadcast_bytes", [-1, None])
+def test_a_load_leaves_nothing_persisted(spark, layout, monkeypatch, broadcast_bytes):
+    from salesmill.operators import sizes
+
+    if broadcast_bytes is not None:
+        monkeypatch.setattr(sizes, "BROADCAST_BYTES", broadcast_bytes)
+    monkeypatch.setattr(ingest, "UNSPREAD_ROWS", 1)
+    writers = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    before = set(spark.sparkContext._jsc.getPersistentRDDs().keySet())
+    for n in range(2):
+        drop(layout, "a", "1.csv", *(line(invoice_id=str(i)) for i in range(n * 5, n * 5 + 10)))
+        drop(layout, "a", "2.csv", *(line(invoice_id=str(i)) for i in range(n * 5 + 8, n * 5 + 12)))
+        run_ingest(spark, layout, reports=False)
+    assert set(spark.sparkContext._jsc.getPersistentRDDs().keySet()) <= before
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == writers
+    assert history(spark, layout) == sorted((("a", str(n), 7) for n in range(17)), key=repr)
+
+
+def test_rows_that_are_not_spread_are_not_sorted(spark, tmp_path, monkeypatch):
+    """A task keeps a file open for each company instead of sorting by company."""
+    from salesmill.sources import sales_table as stored
+
+    seen, replace = [], stored._replace
+
+    def watched(*args):
+        seen.append(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters"))
+        replace(*args)
+
+    monkeypatch.setattr(stored, "_replace", watched)
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    made = [(f"{n}", c, "load") for n in range(50) for c in "abc"]
+    frame = spark.createDataFrame(made, "invoice_id string, company_name string, batch_id string").coalesce(2)
+    for spread in (False, True):
+        stored._replace_load(frame, f"{tmp_path}/{spread}", spread)
+        assert rows(spark.read.parquet(f"{tmp_path}/{spread}"), "invoice_id") == sorted((n,) for n, *_ in made)
+    assert seen == [str(stored.OPEN_FOLDERS), before]
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+
+
+def test_lines_of_the_stand_in_are_not_shuffled_for_suppliers(spark, tmp_path):
+    tables = {
+        "region": "SELECT 1 AS r_regionkey, 'AFRICA' AS r_name",
+        "nation": "SELECT 2 AS n_nationkey, 'KENYA' AS n_name, 1 AS n_regionkey",
+        "supplier": "SELECT id AS s_suppkey, 2 AS s_nationkey FROM range(20)",
+        "customer": "SELECT id AS c_custkey, 'BUILDING' AS c_mktsegment FROM range(5)",
+        "part": "SELECT id AS p_partkey, 'SMALL' AS p_type, 1.5D AS p_retailprice, 3 AS p_size FROM range(30)",
+        "orders": "SELECT id AS o_orderkey, id % 5 AS o_custkey, 'O' AS o_orderstatus, '5-LOW' AS o_orderpriority FROM range(60)",
+        "lineitem": """SELECT id % 60 AS l_orderkey, id % 30 AS l_partkey, id % 20 AS l_suppkey,
+            CAST(id % 7 AS INT) AS l_linenumber, 2D AS l_quantity, 10D AS l_extendedprice, 0.1D AS l_discount,
+            0.05D AS l_tax, 'A' AS l_returnflag, 'F' AS l_linestatus, timestamp'2001-01-01' AS l_shipdate FROM range(420)""",
+    }
+    for name, text in tables.items():
+        spark.sql(text).write.parquet(f"{tmp_path}/{name}.parquet")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        sales = standin.sales_view(spark, str(tmp_path))
+        assert [n for _, n in shuffled_rows(sales)].count(420) == 2
+        assert sales.count() == 420
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
